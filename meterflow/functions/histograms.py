@@ -51,15 +51,6 @@ def stability_index(observed: Sequence[Column | float], expected: Sequence[Colum
     return reduce(add, terms)
 
 
-def drift_index(counts: Sequence[Column], reference: Sequence[float], settings: DriftSettings) -> Column:
-    """Stability index of bucket counts against a reference, with the floor applied on both sides."""
-    total = reduce(add, counts)
-    lifted = [F.greatest(count / total, F.lit(settings.floor)) for count in counts]
-    lifted_total = reduce(add, lifted)
-    expected = floored_shares(reference, len(counts), settings.floor)
-    return stability_index([share / lifted_total for share in lifted], expected, settings.epsilon)
-
-
 def severity(psi: Column, settings: DriftSettings) -> Column:
     return (F.when(psi >= settings.high, "HIGH").when(psi >= settings.medium, "MEDIUM")
             .otherwise("NONE"))

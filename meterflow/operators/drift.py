@@ -3,16 +3,17 @@
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.config import DISTANCE_EDGES, DISTANCE_SHARES, DriftSettings, DURATION_EDGES, DURATION_SHARES
 from meterflow.functions.histograms import (
     bucket_counts,
     bucket_index,
-    drift_index,
+    floored_shares,
     severity,
     smoothed_shares,
+    stability_index,
 )
 from meterflow.operators.ordering import trailing_counts, with_row_index
 
@@ -33,9 +34,6 @@ class Monitored:
     def names(self) -> list[str]:
         return [f"b{i}" for i in range(self.buckets)]
 
-    def index_psi(self, settings: DriftSettings) -> Column:
-        return drift_index([F.col(name) for name in self.names], self.shares, settings)
-
 
 DISTANCE = Monitored("trip_distance", DISTANCE_EDGES, DISTANCE_SHARES)
 DURATION = Monitored("predicted_duration_minutes", DURATION_EDGES, DURATION_SHARES)
@@ -70,14 +68,32 @@ def with_reference(feature: Monitored, reference: DataFrame | None) -> Monitored
     return Monitored(feature.column, tuple(row.buckets), tuple(row.fractions))
 
 
+def with_drift_index(df: DataFrame, counters: Sequence[str], feature: Monitored, settings: DriftSettings,
+                     rows: str, psi: str) -> DataFrame:
+    """Add the row count and the stability index of counter columns, shares floored on both sides.
+
+    Built in steps: as one expression each share would be spelled out in every term again. Too few rows
+    give a null index.
+    """
+    shares = [f"_share_{name}" for name in counters]
+    counts = [F.col(name) for name in counters]
+    df = df.withColumn(rows, sum(counts[1:], counts[0]))
+    enough = F.when(F.col(rows) > 0, F.col(rows))
+    df = df.withColumns({share: F.greatest(count / enough, F.lit(settings.floor)) for share, count in zip(shares, counts)})
+    lifted = [F.col(share) for share in shares]
+    df = df.withColumn("_lifted", F.when(F.col(rows) > 0, sum(lifted[1:], lifted[0])))
+    df = df.withColumns({share: F.col(share) / F.col("_lifted") for share in shares})
+    expected = floored_shares(feature.shares, feature.buckets, settings.floor)
+    df = df.withColumn(psi, stability_index([F.col(share) for share in shares], expected, settings.epsilon))
+    return df.drop(*shares, "_lifted")
+
+
 def period_drift(df: DataFrame, by: Sequence[str], feature: Monitored = DISTANCE,
                  settings: DriftSettings = DriftSettings()) -> DataFrame:
     """Each period (or any other group) against the reference: one aggregate of fixed-size rows."""
-    counts = [F.col(name) for name in feature.names]
-    counted = bucket_table(df, feature, by).withColumn("rows", sum(counts[1:], counts[0])).filter("rows > 0")
-    scored = counted.withColumn("psi", feature.index_psi(settings))
-    return scored.select(*by, F.lit(feature.column).alias("feature"), "rows", "psi",
-                         severity(F.col("psi"), settings).alias("severity"))
+    scored = with_drift_index(bucket_table(df, feature, by), feature.names, feature, settings, "rows", "psi")
+    return scored.filter("rows > 0").select(
+        *by, F.lit(feature.column).alias("feature"), "rows", "psi", severity(F.col("psi"), settings).alias("severity"))
 
 
 def _counter_names(feature: Monitored) -> list[str]:
@@ -89,10 +105,10 @@ def _evaluated(windows: DataFrame, features: Sequence[Monitored], settings: Drif
     """One result row per window and feature, from the counter columns of all features at once."""
     results = []
     for feature in features:
-        counts = [F.col(name) for name in _counter_names(feature)]
-        rows = sum(counts[1:], counts[0])
-        psi = F.when(rows >= settings.min_rows, drift_index(counts, feature.shares, settings))
-        results.append(F.struct(F.lit(feature.column).alias("feature"), rows.alias("window_rows"), psi.alias("psi")))
+        rows, psi = f"_rows_{feature.column}", f"_psi_{feature.column}"
+        windows = with_drift_index(windows, _counter_names(feature), feature, settings, rows, psi)
+        results.append(F.struct(F.lit(feature.column).alias("feature"), F.col(rows).alias("window_rows"),
+                                F.col(psi).alias("psi")))
     flat = windows.select(*keep, F.inline(F.array(*results))).filter(F.col("window_rows") >= settings.min_rows)
     return flat.withColumn("severity", severity(F.col("psi"), settings))
 

@@ -1,12 +1,12 @@
 """Positions in a global order, without ever putting the table, or one hot key of it, in one task."""
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 from functools import reduce
 from operator import or_
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,51 +72,73 @@ def trailing_counts(df: DataFrame, position: str, counters: Sequence[str], width
             .select(*df.columns, *[f"next_{c}" for c in following]))
 
 
-def key_at_rank(df: DataFrame, order: Sequence[str], rank: int) -> dict[str, Any]:
-    """Order-key values of the row at a 1-based rank, by counting instead of sorting.
+def keys_at_ranks(df: DataFrame, order: Sequence[str], pick: Callable[[int], Sequence[int]]) -> list[dict[str, Any]]:
+    """Order-key values of the rows at some 1-based ranks, by counting instead of sorting.
 
-    Each pass counts rows in at most 1024 equal ranges of the first column that still varies and keeps
-    the range holding the rank; once that holds few rows, a small top-k finds the row. Filters reach
-    the scan, so later passes read little.
+    ``pick`` maps the row count to the wanted ranks. Each pass counts rows in at most 1024 equal ranges
+    of the first column that still varies and keeps the range holding the rank; once that holds few
+    rows, a small top-k finds the row. Filters reach the scan, so later passes read little. The first
+    two passes serve all ranks.
     """
-    scope, remaining, rows = df.select(*order), rank, None
+    scope = df.select(*order)
+    bounds = _bounds(scope, order[0])
+    ranks = pick(bounds.rows)
+    first = _range_counts(scope, order[0], bounds.lo, bounds.hi) if ranks and bounds.rows > _FEW_ROWS else None
+    return [_key_at_rank(scope, order, rank, bounds, first) for rank in ranks]
+
+
+def key_at_rank(df: DataFrame, order: Sequence[str], rank: int) -> dict[str, Any]:
+    return keys_at_ranks(df, order, lambda _: [rank])[0]
+
+
+def _key_at_rank(scope: DataFrame, order: Sequence[str], rank: int, bounds: Row, counts: list[Row] | None):
+    remaining = rank
     for name in order:
-        whole = _as_integer(scope, name)
-        if whole is None:
-            break
-        bounds = scope.agg(F.min(whole).alias("lo"), F.max(whole).alias("hi"),
-                           F.count(F.lit(1)).alias("rows"), F.count(whole).alias("keyed")).first()
-        if bounds.keyed < bounds.rows:
-            raise DataValidationError(f"order column {name} holds missing values")
-        if bounds.rows < remaining:
+        bounds = bounds or _bounds(scope, name)
+        if bounds.rows < remaining or remaining < 1:
             raise DataValidationError(f"no row at rank {rank}")
         lo, hi, rows = bounds.lo, bounds.hi, bounds.rows
         while rows > _FEW_ROWS and lo < hi:
-            width = -(-(hi - lo + 1) // _BINS)
-            counts = (
-                scope.filter(_within(scope, name, lo, hi))
-                .groupBy(F.call_function("div", whole - F.lit(lo), F.lit(width)).alias("bin"))
-                .agg(F.count(F.lit(1)).alias("rows"))
-                .orderBy("bin").collect()  # never more than _BINS rows
-            )
-            for row in counts:
+            width = _width(lo, hi)
+            for row in counts or _range_counts(scope, name, lo, hi):
                 if remaining <= row.rows:
                     lo, hi, rows = lo + row.bin * width, min(hi, lo + (row.bin + 1) * width - 1), row.rows
                     break
                 remaining -= row.rows
-        scope = scope.filter(_within(scope, name, lo, hi))
+            counts = None
+        scope, bounds = scope.filter(_within(scope, name, lo, hi)), None
         if rows <= _FEW_ROWS:
             return scope.orderBy(*order).offset(remaining - 1).limit(1).first().asDict()
-    if rows is not None and whole is not None:
-        return scope.first().asDict()  # every key column is pinned to one value
-    raise DataValidationError(f"integer or time columns in {list(order)} leave more than {_FEW_ROWS} rows tied")
+    return scope.first().asDict()  # every key column is pinned to one value
+
+
+def _bounds(scope: DataFrame, name: str) -> Row:
+    whole = _as_integer(scope, name)
+    bounds = scope.agg(F.min(whole).alias("lo"), F.max(whole).alias("hi"),
+                       F.count(F.lit(1)).alias("rows"), F.count(whole).alias("keyed")).first()
+    if bounds.keyed < bounds.rows:
+        raise DataValidationError(f"order column {name} holds missing values")
+    return bounds
+
+
+def _width(lo: int, hi: int) -> int:
+    return -(-(hi - lo + 1) // _BINS)
+
+
+def _range_counts(scope: DataFrame, name: str, lo: int, hi: int) -> list[Row]:
+    """Rows per non-empty range, never more than ``_BINS`` of them."""
+    place = F.call_function("div", _as_integer(scope, name) - F.lit(lo), F.lit(_width(lo, hi)))
+    counts = scope.filter(_within(scope, name, lo, hi)).groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.orderBy("bin").collect()
 
 
-def _as_integer(df: DataFrame, name: str) -> Column | None:
+def _as_integer(df: DataFrame, name: str) -> Column:
     kind = df.schema[name].dataType
     if isinstance(kind, T.TimestampNTZType):
         return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), F.col(name))
-    return F.col(name).cast("bigint") if isinstance(kind, T.IntegralType) else None
+    if isinstance(kind, T.IntegralType):
+        return F.col(name).cast("bigint")
+    raise DataValidationError(f"too many rows are tied before order column {name}, which is not an integer or time")
 
 
 def _within(df: DataFrame, name: str, lo: int, hi: int) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from meterflow.errors import DataValidationError
 from meterflow.functions.parsing import lenient_timestamp
-from meterflow.operators.ordering import at_or_before, key_at_rank
+from meterflow.operators.ordering import at_or_before, keys_at_ranks
 
 SPLITS = ("train", "validation", "test")
 
@@ -33,12 +33,15 @@ def split_by_ratio(df: DataFrame, ratios: Sequence[float] = (0.70, 0.15, 0.15),
     task, with no sort or shuffle of the table.
     """
     check_ratios(ratios)
-    total = df.count()
-    train_end = int(total * ratios[0])
-    validation_end = train_end + int(total * ratios[1])
-    if train_end == 0 or validation_end == train_end or validation_end == total:
-        raise DataValidationError(f"{total} rows leave a split part empty")
-    train_key, validation_key = (key_at_rank(df, order, rank) for rank in (train_end, validation_end))
+
+    def cuts(total: int) -> tuple[int, int]:
+        train_end = int(total * ratios[0])
+        validation_end = train_end + int(total * ratios[1])
+        if train_end == 0 or validation_end == train_end or validation_end == total:
+            raise DataValidationError(f"{total} rows leave a split part empty")
+        return train_end, validation_end
+
+    train_key, validation_key = keys_at_ranks(df, order, cuts)
     part = (F.when(at_or_before(train_key, df), "train")
             .when(at_or_before(validation_key, df), "validation").otherwise("test"))
     return df.withColumn("split", part)
@@ -86,11 +89,9 @@ def seeded_subsample(df: DataFrame, rows: int, seed: int, key: str = "trip_id")
     The rows with the smallest hashes are the sample. Their largest hash is found by counting, so the
     sample is a filter.
     """
-    if df.count() <= rows:
-        return df
     hashed = df.withColumn("_hash", F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 1))
-    cut = key_at_rank(hashed, ("_hash", key), rows)
-    return hashed.filter(at_or_before(cut, hashed)).drop("_hash")
+    cut = keys_at_ranks(hashed, ("_hash", key), lambda total: [rows] if total > rows else [])
+    return hashed.filter(at_or_before(cut[0], hashed)).drop("_hash") if cut else df
 
 
 def head_rows(df: DataFrame, rows: int, order: Sequence[str] = ("pickup_datetime", "trip_id")) -> DataFrame:

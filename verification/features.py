@@ -106,13 +106,13 @@ def local_wall_clock_query(spark, sf_dir):
 
 
 @query("finished_predictions", f"""{RAW_CLEAN} SELECT trip_id,
- greatest(1.0e0, round(trip_distance * 0.3e0, 2)) AS predicted_duration_minutes,
- tpep_pickup_datetime + to_microseconds(CAST(round(greatest(1.0e0, round(trip_distance * 0.3e0, 2)) * 6e7) AS BIGINT))
+ greatest(1.0e0, round(trip_distance * 2, 2)) AS predicted_duration_minutes,
+ tpep_pickup_datetime + to_microseconds(CAST(round(greatest(1.0e0, round(trip_distance * 2, 2)) * 6e7) AS BIGINT))
  AS estimated_dropoff_datetime FROM cleaned""")
 def finished_predictions(spark, sf_dir):
     """Clamped, rounded minutes and the arrival they imply."""
     cleaned = clean_trips(fx.trips_raw(spark, sf_dir))
-    minutes = finished_prediction(F.col("trip_distance") * F.lit(0.3))
+    minutes = finished_prediction(F.col("trip_distance") * 2)
     return cleaned.select("trip_id", minutes.alias("predicted_duration_minutes"),
                           plus_minutes(F.col(PICKUP), minutes).alias("estimated_dropoff_datetime"))
 
