@@ -1 +1,127 @@
+from dataclasses import replace
+from datetime import date
 
+from pyspark.sql import functions as F
+
+from meterflow import fixtures as fx
+from meterflow.config import CleaningLimits, ModelSettings
+from meterflow.models.scoring import score_requests
+from meterflow.models.training import permutation_importance, predict, train_model, tree_importance
+from meterflow.operators.cleaning import clean_trips
+from meterflow.operators.evaluation import regression_metrics
+from meterflow.operators.features import training_features
+from meterflow.operators.splitting import split_by_ratio
+from meterflow.plans.etl import etl_job
+from meterflow.plans.train import train_job
+from meterflow.session import materialise, scratch_path
+from meterflow.sources import manifest as mf
+from meterflow.sources.zones import monthly_name, write_zone, zone_path
+from verification import query
+from verification.tables import KEPT, TRIPS_HIST, featured, flagged
+
+# few trees keep the check short; every row is still trained on
+_SMALL = ModelSettings(trees=3, max_depth=5, subsample_rows=None)
+_ORDER = ("pickup_datetime", "trip_id", "trip_distance", "total_amount")
+
+
+def _split(spark, sf_dir):
+    table = training_features(clean_trips(fx.trips_hist(spark, sf_dir)), keep=["trip_id", "total_amount"])
+    return materialise(split_by_ratio(table, order=_ORDER), "split")
+
+
+def _trained(spark, sf_dir, settings):
+    split = _split(spark, sf_dir)
+    return split, train_model(split.filter("split = 'train'"), settings)
+
+
+@query("train_forest")
+def train_forest(spark, sf_dir):
+    """Forest on the log target: metrics of each split part."""
+    split, model = _trained(spark, sf_dir, replace(_SMALL, algorithm="forest"))
+    return regression_metrics(predict(model, split), by=["split"])
+
+
+@query("train_boosting")
+def train_boosting(spark, sf_dir):
+    """Boosted trees on the log target: metrics of each split part."""
+    split, model = _trained(spark, sf_dir, _SMALL)
+    return regression_metrics(predict(model, split), by=["split"])
+
+
+@query("feature_importance")
+def feature_importance(spark, sf_dir):
+    """Importance of each feature in a forest, highest first."""
+    _, model = _trained(spark, sf_dir, replace(_SMALL, algorithm="forest"))
+    return tree_importance(model, spark, _SMALL.features)
+
+
+@query("permutation_importance")
+def permutation_importance_query(spark, sf_dir):
+    """Loss of R2 when a feature is shuffled, on the first validation rows."""
+    split, model = _trained(spark, sf_dir, replace(_SMALL, algorithm="forest"))
+    return permutation_importance(model, split.filter("split = 'validation'"), _SMALL)
+
+
+@query("batch_scoring")
+def batch_scoring(spark, sf_dir):
+    """Every valid request scored with a fitted model."""
+    _, model = _trained(spark, sf_dir, replace(_SMALL, algorithm="forest"))
+    asked = fx.trips_raw(spark, sf_dir).withColumnRenamed("tpep_pickup_datetime", "pickup_datetime")
+    return score_requests(model, asked, date(2026, 1, 1), "v1", "forest")
+
+
+def land(spark, sf_dir, root):
+    """The history as monthly files in the raw zone."""
+    trips = fx.trips_hist(spark, sf_dir)
+    named = trips.withColumn("filename", monthly_name(F.col("dataset"), F.col("pickup_datetime"))).drop("dataset")
+    write_zone(named.hint("rebalance", "filename"), root, "raw", partition_by=["filename"])
+
+
+_LIMITS = CleaningLimits(max_loss_pct=20.0)
+
+
+def run_etl(spark, sf_dir):
+    root = scratch_path(spark, "etl")
+    land(spark, sf_dir, root)
+    for dataset in ("yellow", "green"):
+        etl_job(spark, root, dataset, limits=_LIMITS, stop_on_failure=False)
+    return root
+
+
+_ETL = f"""WITH {TRIPS_HIST}, {flagged('trips_hist', 'pickup_datetime', 'dropoff_datetime')},
+ named AS (SELECT *, dataset || '_tripdata_' || strftime(pickup_datetime, '%Y-%m') || '.parquet' AS filename FROM flagged),
+ report AS (SELECT dataset, filename, count(*) AS initial_rows, count(*) FILTER ({KEPT}) AS cleaned_rows FROM named GROUP BY ALL),
+ good AS (SELECT * FROM report WHERE (initial_rows - cleaned_rows) * 100.0e0 / initial_rows <= 20),
+ cleaned AS (SELECT * FROM named WHERE {KEPT} AND filename IN (SELECT filename FROM good)),
+ {featured('pickup_datetime')}"""
+
+
+@query("etl_pipeline", f"""{_ETL} SELECT dataset, filename, 'PROCESSED' AS status, initial_rows, cleaned_rows FROM good
+ UNION ALL SELECT dataset, filename, 'FAILED', -1, -1 FROM report WHERE filename NOT IN (SELECT filename FROM good)""")
+def etl_pipeline(spark, sf_dir):
+    """Landed months through ingestion, audit and cleaning: the state of every file."""
+    states = mf.file_states(mf.read_events(spark, run_etl(spark, sf_dir))).filter("stage = 'ingestion'")
+    return states.select("dataset", "filename", "status",
+                         F.coalesce("report.initial_rows", F.lit(-1)).alias("initial_rows"),
+                         F.coalesce("report.cleaned_rows", F.lit(-1)).alias("cleaned_rows"))
+
+
+@query("etl_features", f"""{_ETL} SELECT CASE WHEN trip_id IS NULL THEN '' ELSE 'features' END AS zone, count(*) AS rows,
+ round(sum(trip_duration_minutes), 3) AS minutes, count(DISTINCT PU_DO_pair) AS pairs FROM featured GROUP BY ALL""")
+def etl_features(spark, sf_dir):
+    """What the pipeline published as features."""
+    table = spark.read.parquet(zone_path(run_etl(spark, sf_dir), "features"))
+    return table.agg(F.lit("features").alias("zone"), F.count(F.lit(1)).alias("rows"),
+                     F.round(F.sum("trip_duration_minutes"), 3).alias("minutes"),
+                     F.count_distinct("PU_DO_pair").alias("pairs"))
+
+
+@query("train_pipeline")
+def train_pipeline(spark, sf_dir):
+    """Pipeline from landed files to a recorded model: the run record."""
+    from meterflow.models.registry import judged_runs, read_runs
+
+    root = run_etl(spark, sf_dir)
+    train_job(spark, root, replace(_SMALL, trees=2), gated=False)
+    runs = judged_runs(read_runs(spark, root))
+    return runs.select("model", "version", "algorithm", "val_mae", "promoted", F.map_keys("metrics").alias("metric_names"))
