@@ -128,9 +128,13 @@ def rolling_drift(df: DataFrame, order: Sequence[str], features: Sequence[Monito
     Window length and evaluation step share the step as a divisor, so rows are first counted into
     blocks of one step; only block counts enter the window. Values must not be null.
     """
+    return windows_of_positions(positioned_buckets(df, features, order), features, settings)
+
+
+def windows_of_positions(placed: DataFrame, features: Sequence[Monitored], settings: DriftSettings) -> DataFrame:
+    """Rolling drift of rows that already have gapless positions and bucket numbers."""
     if settings.window_rows % settings.every or settings.min_rows % settings.every:
         raise ValueError("window_rows and min_rows must be multiples of every")
-    placed = positioned_buckets(df, features, order)
     block = F.call_function("div", F.col("row_index") - 1, F.lit(settings.every)) + 1
     counted = [
         count.alias(name) for f in features

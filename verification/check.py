@@ -63,7 +63,7 @@ def main(sf: str = "0.01", *names: str) -> int:
             print(f"equal {name:28} {len(frame):7} rows {took:6.2f}s  sql {sql_took:5.2f}s", flush=True)
         except Exception as error:  # report and go on with the next query
             wrong += 1
-            print(f"WRONG {name:28} {type(error).__name__}: {str(error)[:1500]}", flush=True)
+            print(f"WRONG {name:28} {type(error).__name__}: {str(error)[:4000]}", flush=True)
     print(f"{wrong} wrong")
     return wrong
 
