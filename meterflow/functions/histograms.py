@@ -40,15 +40,16 @@ def floored_shares(shares: Sequence[float], buckets: int, floor: float) -> list[
     return [share / total for share in lifted][:buckets]
 
 
-def stability_index(observed: Sequence[Column | float], expected: Sequence[Column | float],
-                    epsilon: float) -> Column:
-    """Sum of (o - e) * ln(o / e), both clamped from below; extra buckets on one side are ignored."""
-    terms = []
-    for seen, wanted in zip(observed, expected):
-        o = F.greatest(F.lit(seen), F.lit(epsilon))
-        e = F.greatest(F.lit(wanted), F.lit(epsilon))
-        terms.append((o - e) * F.ln(o / e))
-    return reduce(add, terms)
+def stability_index(observed: Column, expected: Sequence[float], epsilon: float) -> Column:
+    """Sum of (o - e) * ln(o / e) over an array of shares, both sides clamped from below.
+
+    Buckets that only one side has are ignored.
+    """
+    wanted = F.array(*[F.lit(max(share, epsilon)) for share in expected])
+    seen = F.transform(observed, lambda share: F.greatest(share, F.lit(epsilon)))
+    # the shorter side is padded with nulls, whose terms count nothing
+    terms = F.zip_with(seen, wanted, lambda o, e: (o - e) * F.ln(o / e))
+    return F.aggregate(terms, F.lit(0.0), lambda acc, term: acc + F.coalesce(term, F.lit(0.0)))
 
 
 def severity(psi: Column, settings: DriftSettings) -> Column:

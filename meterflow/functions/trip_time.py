@@ -9,7 +9,8 @@ from meterflow.config import CleaningLimits, RUSH_HOURS
 
 
 def minutes_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(6e7)
+    micros = F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))
+    return micros / F.lit(6e7)
 
 
 def plausible_speed(distance: Column, minutes: Column, limits: CleaningLimits) -> Column:

@@ -72,20 +72,18 @@ def with_drift_index(df: DataFrame, counters: Sequence[str], feature: Monitored,
                      rows: str, psi: str) -> DataFrame:
     """Add the row count and the stability index of counter columns, shares floored on both sides.
 
-    Built in steps: as one expression each share would be spelled out in every term again. Too few rows
-    give a null index.
+    Arrays keep the plan small: spelled out per bucket, each share would appear in every term again.
+    No rows give a null index.
     """
-    shares = [f"_share_{name}" for name in counters]
     counts = [F.col(name) for name in counters]
+    total = F.when(F.col(rows) > 0, F.col(rows))
     df = df.withColumn(rows, sum(counts[1:], counts[0]))
-    enough = F.when(F.col(rows) > 0, F.col(rows))
-    df = df.withColumns({share: F.greatest(count / enough, F.lit(settings.floor)) for share, count in zip(shares, counts)})
-    lifted = [F.col(share) for share in shares]
-    df = df.withColumn("_lifted", F.when(F.col(rows) > 0, sum(lifted[1:], lifted[0])))
-    df = df.withColumns({share: F.col(share) / F.col("_lifted") for share in shares})
+    df = df.withColumn("_shares", F.transform(F.array(*counts), lambda c: F.greatest(c / total, F.lit(settings.floor))))
+    df = df.withColumn("_lifted", F.aggregate("_shares", F.lit(0.0), lambda acc, share: acc + share))
+    observed = F.transform("_shares", lambda share: share / F.col("_lifted"))
     expected = floored_shares(feature.shares, feature.buckets, settings.floor)
-    df = df.withColumn(psi, stability_index([F.col(share) for share in shares], expected, settings.epsilon))
-    return df.drop(*shares, "_lifted")
+    index = F.when(F.col(rows) > 0, stability_index(observed, expected, settings.epsilon))
+    return df.withColumn(psi, index).drop("_shares", "_lifted")
 
 
 def period_drift(df: DataFrame, by: Sequence[str], feature: Monitored = DISTANCE,

@@ -17,8 +17,14 @@ def build_session(app: str = "meterflow", master: str | None = None, **conf: str
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Trip times carry no zone, so arithmetic on them must not see a daylight-saving session zone."""
+    """Session settings the operators rely on.
+
+    Trip times carry no zone, so arithmetic on them must not see a daylight-saving session zone. The JVM
+    does not compile methods over 8000 bytes of code; beyond that, Spark's smaller generated functions
+    are much faster than one interpreted whole stage (wide bucket counts reach that size).
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 

@@ -167,5 +167,5 @@ def plain_psi(spark, sf_dir):
     table = training_features(clean_trips(fx.trips_hist(spark, sf_dir))).withColumn("year", F.year("pickup_datetime"))
     counts = bucket_table(table, DISTANCE, ["year"])
     total = sum((F.col(n) for n in DISTANCE.names[1:]), F.col(DISTANCE.names[0]))
-    psi = stability_index([F.col(n) / total for n in DISTANCE.names], DISTANCE.shares, DriftSettings().epsilon)
+    psi = stability_index(F.array(*[F.col(n) / total for n in DISTANCE.names]), DISTANCE.shares, DriftSettings().epsilon)
     return counts.select("year", (F.round(psi, 6) + F.lit(0.0)).alias("psi"))
