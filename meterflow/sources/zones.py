@@ -3,6 +3,7 @@
 import re
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,8 +96,8 @@ def read_trip_file(spark: SparkSession, path: str, clean: bool = False,
         raise DataValidationError(f"expected a Parquet file: {path}")
     try:
         trips = spark.read.parquet(path)
-    except PySparkException as error:
-        missing = error.getCondition() == "PATH_NOT_FOUND"
+    except (PySparkException, Py4JJavaError) as error:
+        missing = "PATH_NOT_FOUND" in str(error)
         reason = "data file does not exist" if missing else "unable to read Parquet file"
         raise DataValidationError(f"{reason}: {path}") from error
     if not clean:
@@ -120,8 +121,8 @@ def read_monthly_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
     try:
         return read(paths)
-    except PySparkException as error:
-        if "MERGE" not in (error.getCondition() or str(error)):
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE" not in str(error):
             raise
     groups: dict[str, list[str]] = {}
     for path in paths:
