@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterflow.session import materialise
+
 
 def _with_best_before(runs: DataFrame, model: str, version: str, metric: str, higher: bool, chunk: int) -> DataFrame:
     """The best metric of all earlier versions, by version chunks, so one busy model is many groups."""
@@ -15,10 +17,12 @@ def _with_best_before(runs: DataFrame, model: str, version: str, metric: str, hi
     chunked = runs.withColumn("_chunk", F.call_function("div", F.col(version), F.lit(chunk)))
     per_chunk = chunked.groupBy(model, "_chunk").agg(best(metric).alias("_chunk_best"))
     earlier_chunks = Window.partitionBy(model).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = per_chunk.select(model, "_chunk", best("_chunk_best").over(earlier_chunks).alias("_carried"))
+    carried = per_chunk.select(F.col(model).alias("_model"), F.col("_chunk").alias("_of"),
+                               best("_chunk_best").over(earlier_chunks).alias("_carried"))
     earlier = Window.partitionBy(model, "_chunk").orderBy(version).rowsBetween(Window.unboundedPreceding, -1)
     inside = chunked.withColumn("_inside", best(metric).over(earlier))
-    return inside.join(carried, [model, "_chunk"]).withColumn("_best", pick("_inside", "_carried"))
+    same = F.col(model).eqNullSafe(F.col("_model")) & F.col("_chunk").eqNullSafe(F.col("_of"))
+    return inside.join(carried, same).withColumn("_best", pick("_inside", "_carried"))
 
 
 def champion_history(runs: DataFrame, model: str = "model", version: str = "version", metric: str = "val_mae",
@@ -38,10 +42,10 @@ def champion_history(runs: DataFrame, model: str = "model", version: str = "vers
         return compared.select(*runs.columns, record.alias("promoted"))
 
     walked_rows = F.col(metric).isNotNull() & (record | F.coalesce(F.col("_best") < 0, F.lit(False)))
-    marked = compared.withColumn("_walk", walked_rows)
+    marked = materialise(compared.select(*runs.columns, walked_rows.alias("_walk")), "champions")
     rest = marked.filter(~F.col("_walk")).select(*runs.columns, F.lit(False).alias("promoted"))
-    candidates = (marked.filter("_walk").select(*runs.columns)
-                  .repartition(model).sortWithinPartitions(model, version))
+    candidates = (marked.filter("_walk").select(*runs.columns, F.to_json(F.struct(model)).alias("_who"))
+                  .repartition("_who").sortWithinPartitions("_who", version))
     schema = T.StructType([*candidates.schema.fields, T.StructField("promoted", T.BooleanType())])
     factor = 1.0 + tolerance if higher_is_better else 1.0 - tolerance
 
@@ -49,7 +53,7 @@ def champion_history(runs: DataFrame, model: str = "model", version: str = "vers
         current, champion = None, None
         for batch in batches:
             marks = []
-            for name, value in zip(batch[model], batch[metric]):
+            for name, value in zip(batch["_who"], batch[metric]):
                 if name != current:
                     current, champion = name, None
                 bar = None if champion is None else champion * factor
@@ -58,7 +62,7 @@ def champion_history(runs: DataFrame, model: str = "model", version: str = "vers
                 marks.append(won)
             yield batch.assign(promoted=marks)
 
-    return rest.unionByName(candidates.mapInPandas(walk, schema))
+    return rest.unionByName(candidates.mapInPandas(walk, schema).drop("_who"))
 
 
 def current_champions(history: DataFrame, model: str = "model", version: str = "version") -> DataFrame:

@@ -159,6 +159,23 @@ def heartbeat_gaps(df: DataFrame, source: str, time: str = "ts", min_seconds: in
         source, F.col("_last").alias("silent_from"), "silent_until", (length / F.lit(1e6)).alias("gap_seconds"))
 
 
+def activity_sessions(df: DataFrame, client: str = "client", time: str = "ts", gap_seconds: int = 60) -> DataFrame:
+    """Activity of each client between silences longer than ``gap_seconds``.
+
+    Events in one slot of that length always share a session, so they are counted per slot first.
+    """
+    slots = df.groupBy(client, step_start(F.col(time), gap_seconds).alias("_slot")).agg(
+        F.min(time).alias("_first"), F.max(time).alias("_last"), F.count(F.lit(1)).alias("_events"))
+    ordered = Window.partitionBy(client).orderBy("_slot")
+    silence = F.timestamp_diff("MICROSECOND", F.lag("_last").over(ordered), F.col("_first"))
+    slots = slots.withColumn("_fresh", F.coalesce((silence > gap_seconds * _MICROS).cast("int"), F.lit(1)))
+    slots = slots.withColumn("_session", F.sum("_fresh").over(ordered))
+    end = F.timestamp_add("SECOND", F.lit(gap_seconds), F.max("_last"))
+    return slots.groupBy(client, "_session").agg(
+        F.min("_first").alias("session_start"), end.alias("session_end"), F.sum("_events").alias("requests"),
+    ).drop("_session")
+
+
 def status_down(df: DataFrame, flag: Column, keys: Sequence[str] = (), time: str = "ts", for_seconds: int = 60,
                 step_seconds: int = 60) -> DataFrame:
     """Times at which the last reported flag of each step was 0 for ``for_seconds``."""

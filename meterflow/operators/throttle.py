@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterflow.session import materialise
+
 _MICROS = 1_000_000
 
 
@@ -40,12 +42,15 @@ def throttle_marks(df: DataFrame, client: str, time: str, request_id: str, limit
                    window_seconds: int = 60, slice_windows: int = 60) -> DataFrame:
     """Add ``admitted``. Requests of a client are ordered by time, then id."""
     window = window_seconds * _MICROS
-    flagged = _contested_stretches(df, client, time, request_id, limit, window, window * slice_windows)
+    # both kinds of rows come from the same three ordered passes: run those once
+    flagged = materialise(_flagged(df, client, time, request_id, limit, window, window * slice_windows), "throttle")
     free = flagged.filter(~F.col("_contested")).select(*df.columns, F.lit(True).alias("admitted"))
     contested = (
-        flagged.filter("_contested").select(*df.columns, "_t", "_stretch")
-        .repartition(client, "_stretch")
-        .sortWithinPartitions(client, "_stretch", "_t", request_id)
+        _with_stretches(flagged.filter("_contested"), client)
+        .withColumn("_who", F.to_json(F.struct(client)))
+        .select(*df.columns, "_t", "_who", "_stretch")
+        .repartition("_who", "_stretch")
+        .sortWithinPartitions("_who", "_stretch", "_t", request_id)
     )
     schema = T.StructType([*contested.schema.fields, T.StructField("admitted", T.BooleanType())])
 
@@ -54,10 +59,10 @@ def throttle_marks(df: DataFrame, client: str, time: str, request_id: str, limit
         for batch in batches:
             marks = np.zeros(len(batch), dtype=bool)
             starts = np.flatnonzero(
-                (batch[client] != batch[client].shift()) | (batch["_stretch"] != batch["_stretch"].shift()))
+                (batch["_who"] != batch["_who"].shift()) | (batch["_stretch"] != batch["_stretch"].shift()))
             times = batch["_t"].to_numpy()
             for start, end in zip(starts, [*starts[1:], len(batch)]):
-                key = (batch[client].iat[start], batch["_stretch"].iat[start])
+                key = (batch["_who"].iat[start], batch["_stretch"].iat[start])
                 if key != current:
                     current, recent = key, deque()
                 marks[start:end] = admit_in_order(times[start:end], recent, limit, window)
@@ -67,9 +72,9 @@ def throttle_marks(df: DataFrame, client: str, time: str, request_id: str, limit
     return free.unionByName(walked)
 
 
-def _contested_stretches(df: DataFrame, client: str, time: str, request_id: str, limit: int,
-                         window: int, slice_micros: int) -> DataFrame:
-    """Flag requests that matter to an undecided one, and name each gap-free stretch of them.
+def _flagged(df: DataFrame, client: str, time: str, request_id: str, limit: int, window: int,
+             slice_micros: int) -> DataFrame:
+    """Flag requests that matter to an undecided one, and where a gap-free stretch of them opens.
 
     A client's requests are cut into time slices, so a busy client is many groups. Each slice also sees
     two windows before it and one after it, which is all its own flags depend on.
@@ -96,12 +101,16 @@ def _contested_stretches(df: DataFrame, client: str, time: str, request_id: str,
     since = F.col("_t") - F.max(F.when(F.col("_contested"), F.col("_t"))).over(before)
     opens = F.col("_contested") & F.coalesce(since > window, F.lit(True)) & (F.col("_slice") == F.col("_own"))
     spread = spread.withColumn("_opened", F.when(opens, F.col("_t")))
-    so_far = forward.rowsBetween(Window.unboundedPreceding, 0)
-    spread = spread.withColumn("_stretch", F.max("_opened").over(so_far)).filter(F.col("_slice") == F.col("_own"))
+    return spread.filter(F.col("_slice") == F.col("_own"))
+
 
+def _with_stretches(contested: DataFrame, client: str) -> DataFrame:
+    """Name each contested request's stretch by its first time, which may lie in an earlier slice."""
+    so_far = Window.partitionBy(client, "_slice").orderBy("_t").rangeBetween(Window.unboundedPreceding, 0)
+    named = contested.withColumn("_stretch", F.max("_opened").over(so_far))
     # one row per client and slice: its size depends on elapsed time, not on traffic
-    last = spread.groupBy(client, "_slice").agg(F.max("_opened").alias("_last"))
+    last = contested.groupBy(client, "_slice").agg(F.max("_opened").alias("_last"))
     earlier = Window.partitionBy(client).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = last.select(client, "_slice", F.max("_last").over(earlier).alias("_carried"))
-    named = spread.join(carried, [client, "_slice"])
-    return named.withColumn("_stretch", F.coalesce("_stretch", "_carried"))
+    carried = last.select(F.col(client).alias("_client"), F.col("_slice").alias("_of"), F.max("_last").over(earlier).alias("_carried"))
+    joined = named.join(carried, F.col(client).eqNullSafe(F.col("_client")) & (F.col("_slice") == F.col("_of")))
+    return joined.withColumn("_stretch", F.coalesce("_stretch", "_carried"))

@@ -71,3 +71,12 @@ def test_status_down_and_current(spark):
                                "ts timestamp, flag int, name string")
     assert [r.fires_at for r in tm.status_down(df, F.col("flag")).collect()] == [at(minutes=1)]
     assert tm.current_status(df, "flag", ["name"]).first().status == 1
+
+
+def test_slot_sessions_equal_session_windows(spark):
+    from meterflow.streaming.telemetry import client_sessions
+
+    rows = [("hot" if i % 3 else "b", at(seconds=(i * i * 7) % 5000)) for i in range(300)]
+    df = spark.createDataFrame(rows, "client string, ts timestamp")
+    got = {tuple(r) for r in tm.activity_sessions(df).collect()}
+    assert got == {tuple(r) for r in client_sessions(df, watermark=None).collect()}

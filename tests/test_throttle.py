@@ -42,6 +42,13 @@ def test_marks_equal_a_literal_walk(spark, limit, window, span, slices):
     assert got == literal(rows, limit, window)
 
 
+def test_requests_without_a_client_share_one_limit(spark):
+    rows = [(None if i % 2 else 7, i, START + timedelta(seconds=i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "client bigint, request_id bigint, ts timestamp").repartition(3)
+    got = {r.request_id: r.admitted for r in throttle_marks(df, "client", "ts", "request_id", 2, 15, 3).collect()}
+    assert got == literal(rows, 2, 15)
+
+
 def test_a_time_exactly_one_window_old_still_counts():
     times = np.array([0, 60, 61, 121, 122])
     assert admit_in_order(times, deque(), 1, 60).tolist() == [True, False, True, False, True]

@@ -17,7 +17,7 @@ from meterflow.streaming.throttle import throttle_stream
 from verification import query
 from verification.drift import DISTANCE_REF, ROLLING_SQL, _bucket_sql, _psi_sql, _severity_sql, arrivals
 from verification.tables import KEPT, RAW_CLEAN, RAW_FEATURES, REQUESTS, TRIPS_RAW, flagged
-from verification.telemetry import THROTTLE_SQL
+from verification.telemetry import SESSIONS_SQL, THROTTLE_SQL
 
 _CUTS = (datetime(2024, 1, 11), datetime(2024, 1, 21))
 
@@ -153,11 +153,7 @@ def stream_throttle(spark, sf_dir):
     return spark.read.parquet(out).select("client", "request_id", "admitted")
 
 
-@query("client_sessions", f"""WITH {REQUESTS}, steps AS (SELECT client, ts, CASE WHEN date_diff('microsecond',
- lag(ts) OVER (PARTITION BY client ORDER BY ts), ts) < 3600000000 THEN 0 ELSE 1 END AS fresh FROM requests),
- runs AS (SELECT *, sum(fresh) OVER (PARTITION BY client ORDER BY ts) AS run FROM steps)
- SELECT client, min(ts) AS session_start, max(ts) + INTERVAL 1 HOUR AS session_end, count(*) AS requests
- FROM runs GROUP BY client, run""")
+@query("client_sessions", SESSIONS_SQL)
 def client_sessions_query(spark, sf_dir):
     """Client activity between silences of an hour."""
     return client_sessions(fx.requests(spark, sf_dir), gap="1 hour", watermark=None)

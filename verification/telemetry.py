@@ -270,3 +270,16 @@ def throttle_totals(spark, sf_dir):
                            "request_id", limit=2, window_seconds=86_400, slice_windows=10)
     return marks.groupBy("client").agg(F.count_if("admitted").alias("admitted"),
                                        F.count_if(~F.col("admitted")).alias("denied"))
+
+
+SESSIONS_SQL = f"""WITH {REQUESTS}, steps AS (SELECT client, ts, CASE WHEN date_diff('microsecond',
+ lag(ts) OVER (PARTITION BY client ORDER BY ts), ts) <= 3600000000 THEN 0 ELSE 1 END AS fresh FROM requests),
+ runs AS (SELECT *, sum(fresh) OVER (PARTITION BY client ORDER BY ts) AS run FROM steps)
+ SELECT client, min(ts) AS session_start, max(ts) + INTERVAL 1 HOUR AS session_end, count(*) AS requests
+ FROM runs GROUP BY client, run"""
+
+
+@query("activity_sessions", SESSIONS_SQL)
+def activity_sessions(spark, sf_dir):
+    """Client activity between silences of an hour, counted per slot before ordering."""
+    return tm.activity_sessions(fx.requests(spark, sf_dir), gap_seconds=3600)
