@@ -10,6 +10,8 @@ from meterflow.operators.drift import (
 )
 from meterflow.operators.features import training_features
 from meterflow.operators.splitting import split_by_date
+from meterflow.session import scratch_path
+from meterflow.sources.zones import write_small_json, zone_path
 from verification import query
 from verification.tables import HIST_FEATURES, RAW_CLEAN, TRIPS_RAW
 
@@ -76,6 +78,19 @@ def reference_distribution_query(spark, sf_dir):
         "fraction", F.round("fraction", 9))
 
 
+@query("reference_export", f"""{HIST_FEATURES}, {_TRAIN_SHARES}
+ SELECT b AS bucket, round(fraction, 9) AS fraction, (SELECT count(*) FROM train) AS sample_count FROM shares""")
+def reference_export(spark, sf_dir):
+    """The reference written as JSON and read back by a later job."""
+    from meterflow.plans.score import exported_reference
+
+    root = scratch_path(spark, "reference")
+    reference = reference_distribution(_train(spark, sf_dir).filter("split = 'train'"))
+    write_small_json(reference, zone_path(root, "metadata", "reference_distribution"))
+    return exported_reference(spark, root).select(
+        F.posexplode("fractions").alias("bucket", "fraction"), "sample_count").withColumn("fraction", F.round("fraction", 9))
+
+
 @query("period_psi", f"""{HIST_FEATURES}, {_TRAIN_SHARES},
  reference AS (SELECT b, greatest(fraction, {_FLOOR}e0) / sum(greatest(fraction, {_FLOOR}e0)) OVER () AS e FROM shares),
  seen AS (SELECT year(pickup_datetime) AS y, month(pickup_datetime) AS m, {_bucket_sql('trip_distance', DISTANCE_EDGES)} AS b

@@ -1,10 +1,12 @@
 from dataclasses import replace
 from datetime import date
 
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from meterflow import fixtures as fx
 from meterflow.config import CleaningLimits, ModelSettings
+from meterflow.models.encoding import coded_name, encoding_stages
 from meterflow.models.scoring import score_requests
 from meterflow.models.training import permutation_importance, predict, train_model, tree_importance
 from meterflow.operators.cleaning import clean_trips
@@ -12,12 +14,12 @@ from meterflow.operators.evaluation import regression_metrics
 from meterflow.operators.features import training_features
 from meterflow.operators.splitting import split_by_ratio
 from meterflow.plans.etl import etl_job
-from meterflow.plans.train import train_job
+from meterflow.plans.train import load_history, train_job
 from meterflow.session import materialise, scratch_path
 from meterflow.sources import manifest as mf
 from meterflow.sources.zones import monthly_name, write_zone, zone_path
 from verification import query
-from verification.tables import KEPT, TRIPS_HIST, featured, flagged
+from verification.tables import HIST_FEATURES, KEPT, TRIPS_HIST, featured, flagged
 
 # few trees keep the check short; every row is still trained on
 _SMALL = ModelSettings(trees=3, max_depth=5, subsample_rows=None)
@@ -34,6 +36,16 @@ def _trained(spark, sf_dir, settings):
     return split, train_model(split.filter("split = 'train'"), settings)
 
 
+@query("category_codes", f"""{HIST_FEATURES} SELECT DISTINCT PU_DO_pair, CAST(dense_rank() OVER (ORDER BY PU_DO_pair) - 1 AS DOUBLE) AS code
+ FROM featured""")
+def category_codes(spark, sf_dir):
+    """Ordinal code of each zone pair, in the order of its text."""
+    table = training_features(clean_trips(fx.trips_hist(spark, sf_dir)))
+    stages = encoding_stages(table, ["PU_DO_pair", "trip_distance"])
+    coded = Pipeline(stages=stages[:-1]).fit(table).transform(table)
+    return coded.select("PU_DO_pair", F.col(coded_name("PU_DO_pair")).alias("code")).distinct()
+
+
 @query("train_forest")
 def train_forest(spark, sf_dir):
     """Forest on the log target: metrics of each split part."""
@@ -116,6 +128,20 @@ def etl_features(spark, sf_dir):
                      F.count_distinct("PU_DO_pair").alias("pairs"))
 
 
+@query("history_months", f"""{_ETL}, months AS (SELECT DISTINCT dataset, month FROM (SELECT f.*, g.dataset,
+  date_trunc('month', f.pickup_datetime) AS month FROM featured f JOIN cleaned g USING (trip_id))),
+ newest AS (SELECT dataset, month, dense_rank() OVER (PARTITION BY dataset ORDER BY month DESC) AS r FROM months),
+ rows AS (SELECT g.dataset, date_trunc('month', f.pickup_datetime) AS month, f.trip_duration_minutes AS y
+  FROM featured f JOIN cleaned g USING (trip_id))
+ SELECT strftime(month, '%Y-%m') AS month, count(*) AS rows, round(sum(y), 3) AS minutes
+ FROM rows JOIN (SELECT * FROM newest WHERE r <= 12) USING (dataset, month) GROUP BY ALL""")
+def history_months(spark, sf_dir):
+    """Rolling history of published features, chosen from the manifest."""
+    table = load_history(spark, run_etl(spark, sf_dir))
+    return table.groupBy(F.date_format("pickup_datetime", "yyyy-MM").alias("month")).agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.sum("trip_duration_minutes"), 3).alias("minutes"))
+
+
 @query("train_pipeline")
 def train_pipeline(spark, sf_dir):
     """Pipeline from landed files to a recorded model: the run record."""
