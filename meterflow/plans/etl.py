@@ -95,9 +95,10 @@ def feature_files(spark: SparkSession, root: str, filenames: Sequence[str],
     written = _months_of(spark, root, "features", filenames)
     present = [name for name in FEATURES if name in written.columns]
     gaps = [F.count_if(is_missing(written, name)).alias(f"missing_{name}") for name in present]
-    name = F.format_string("%s_tripdata_%04d-%02d.parquet", "dataset", "year", "month")
-    counts = written.groupBy("dataset", name.alias("filename")).agg(F.count(F.lit(1)).alias("row_count"), *gaps)
-    counts = materialise(counts, "feature-counts")
+    # named once per month, not once per row
+    counts = written.groupBy(*MONTH_KEYS).agg(F.count(F.lit(1)).alias("row_count"), *gaps)
+    named = counts.withColumn("filename", F.format_string("%s_tripdata_%04d-%02d.parquet", *MONTH_KEYS))
+    counts = materialise(named.drop("year", "month"), "feature-counts")
     broken = counts.filter(" OR ".join(f"missing_{name} > 0" for name in present)).first()
     if broken is not None:
         raise DataValidationError(f"features of {broken.filename} hold missing values")

@@ -108,9 +108,9 @@ _ETL = f"""WITH {TRIPS_HIST}, {flagged('trips_hist', 'pickup_datetime', 'dropoff
  {featured('pickup_datetime')}"""
 
 
-@query("etl_pipeline", f"""{_ETL} SELECT dataset, filename, 'PROCESSED' AS status, initial_rows, cleaned_rows FROM good
+@query("etl_states", f"""{_ETL} SELECT dataset, filename, 'PROCESSED' AS status, initial_rows, cleaned_rows FROM good
  UNION ALL SELECT dataset, filename, 'FAILED', -1, -1 FROM report WHERE filename NOT IN (SELECT filename FROM good)""")
-def etl_pipeline(spark, sf_dir):
+def etl_states(spark, sf_dir):
     """Landed months through ingestion, audit and cleaning: the state of every file."""
     states = mf.file_states(mf.read_events(spark, run_etl(spark, sf_dir))).filter("stage = 'ingestion'")
     return states.select("dataset", "filename", "status",
@@ -142,8 +142,8 @@ def history_months(spark, sf_dir):
         F.count(F.lit(1)).alias("rows"), F.round(F.sum("trip_duration_minutes"), 3).alias("minutes"))
 
 
-@query("train_pipeline")
-def train_pipeline(spark, sf_dir):
+@query("train_run")
+def train_run(spark, sf_dir):
     """Pipeline from landed files to a recorded model: the run record."""
     from meterflow.models.registry import judged_runs, read_runs
 

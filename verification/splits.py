@@ -1,7 +1,5 @@
 from datetime import datetime
 
-from pyspark.sql import functions as F
-
 from meterflow import fixtures as fx
 from meterflow.operators.champions import champion_history, current_champions
 from meterflow.operators.cleaning import clean_trips
@@ -11,7 +9,7 @@ from meterflow.operators.splitting import (
     chronological, head_rows, seeded_subsample, split_by_date, split_by_ratio, split_sizes,
 )
 from verification import query
-from verification.tables import HIST_FEATURES, MODEL_RUNS, RAW_FEATURES, TRIPS_HIST, TRIPS_RAW
+from verification.tables import HIST_FEATURES, MODEL_RUNS, RAW_FEATURES, TRIPS_HIST
 
 _HIST_ORDER = ("pickup_datetime", "trip_id", "trip_distance", "total_amount")
 _ROW = "row_number() OVER (ORDER BY pickup_datetime, trip_id, trip_distance, total_amount)"
