@@ -41,6 +41,8 @@ def admit_in_order(times: np.ndarray, recent: deque, limit: int, window: int) ->
 def throttle_marks(df: DataFrame, client: str, time: str, request_id: str, limit: int = 60,
                    window_seconds: int = 60, slice_windows: int = 60) -> DataFrame:
     """Add ``admitted``. Requests of a client are ordered by time, then id."""
+    if limit < 1 or slice_windows < 2:
+        raise ValueError("limit must be at least 1, and a slice at least two windows long")
     window = window_seconds * _MICROS
     # both kinds of rows come from the same three ordered passes: run those once
     flagged = materialise(_flagged(df, client, time, request_id, limit, window, window * slice_windows), "throttle")

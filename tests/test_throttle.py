@@ -63,3 +63,8 @@ def test_state_carries_over_batches_and_stays_small():
         parts.extend(admit_in_order(times[start: start + 37], recent, 5, 300))
         assert len(recent) <= 5
     assert parts == whole.tolist()
+
+
+def test_slices_must_hold_the_lookback(spark):
+    with pytest.raises(ValueError):
+        throttle_marks(spark.range(1), "id", "id", "id", limit=1, window_seconds=1, slice_windows=1)
