@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import chat, mixing, token_files
+from meterflow.llm import chat, mixing, near_duplicates, token_files
 from meterflow.llm.tables import read, tuned
 from meterflow.session import prepare
 
@@ -66,3 +66,9 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.planned(docs).select(
         F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", (F.size("draws") * F.col("size")).alias("taken"))
+
+
+@query
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near duplicates of all documents: three-word shingles, similarity of 0.85 or more."""
+    return near_duplicates.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, percent=85)
