@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import chat, mixing, near_duplicates, token_files
+from meterflow.llm import chat, decontamination, languages, mixing, near_duplicates, token_files
 from meterflow.llm.tables import read, tuned
 from meterflow.session import prepare
 
@@ -72,3 +72,16 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of all documents: three-word shingles, similarity of 0.85 or more."""
     return near_duplicates.near_duplicates(read(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from those not held out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return languages.identify(docs).select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score", "n_langs")
+
+
+@query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the evidence."""
+    return decontamination.matches(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
