@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.tables import written
+from meterflow.llm.tables import joined, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -16,9 +16,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        return both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        return joined(both.filter("v > u"), least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    hung = edges.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    hung = joined(edges, least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return hung.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 

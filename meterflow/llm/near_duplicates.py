@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from meterflow.llm.components import components
 from meterflow.llm.shingles import mixed, shingle_sets
-from meterflow.llm.tables import raw_texts, slices, written
+from meterflow.llm.tables import joined, raw_texts, slices, written
 
 BANDS, ROWS = 25, 5
 BATCH = 25
@@ -96,7 +96,7 @@ def plausible(pairs: DataFrame, classes: DataFrame, bound: float) -> DataFrame:
 
     own = classes.select(F.col("doc_id").alias("u"), F.col("signature").alias("su"))
     other = classes.select(F.col("doc_id").alias("v"), F.col("signature").alias("sv"))
-    return pairs.join(other, "v").join(own, "u").select("u", "v", "su", "sv").mapInArrow(run, "u long, v long")
+    return joined(joined(pairs, other, "v"), own, "u").select("u", "v", "su", "sv").mapInArrow(run, "u long, v long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
@@ -119,7 +119,7 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
 
     own = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("tu"))
     other = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("tv"))
-    return pairs.join(other, "v").join(own, "u").select("u", "v", "tu", "tv").mapInArrow(run, "u long, v long, both long, either long")
+    return joined(joined(pairs, other, "v"), own, "u").select("u", "v", "tu", "tv").mapInArrow(run, "u long, v long, both long, either long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -131,10 +131,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("bands").alias("bands")), "classes")
     members = classes.select("doc_id", F.explode("bands").alias("bucket")).distinct()
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    opened = first = written(members.join(shared, "bucket"), "buckets")
+    opened = first = written(joined(members, shared, "bucket"), "buckets")
     needed = opened.select("doc_id").distinct()
-    texts = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-                    .join(needed, "doc_id").dropDuplicates(["doc_id"]), "texts")
+    texts = written(joined(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), needed, "doc_id")
+                    .dropDuplicates(["doc_id"]), "texts")
     alike = classes.select("doc_id", "signature")
     link, near = F.col("both") * 100 >= F.col("either") * percent, 2 * percent / 100 - 1
 
@@ -145,16 +145,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     led = []
     while not opened.isEmpty():
         leaders = opened.groupBy("bucket").agg(F.min("doc_id").alias("u"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket", "u")
-        pairs = written(opened.join(leaders, "bucket").filter("doc_id > u").select("bucket", "u", F.col("doc_id").alias("v")), "bucket-pairs")
+        pairs = written(joined(opened, leaders, "bucket").filter("doc_id > u").select("bucket", "u", F.col("doc_id").alias("v")), "bucket-pairs")
         new = pairs.select("u", "v").distinct()
         for done in judged:
-            new = new.join(done.select("u", "v"), ["u", "v"], "left_anti")
+            new = joined(new, done.select("u", "v"), ["u", "v"], "left_anti")
         judged.append(compare(new))
         linked = judged[0]
         for done in judged[1:]:
             linked = linked.unionByName(done)
         led.append(pairs)
-        opened = written(pairs.join(linked.filter(link).select("u", "v"), ["u", "v"], "left_anti").select(F.col("v").alias("doc_id"), "bucket"), "buckets")
+        opened = written(joined(pairs, linked.filter(link).select("u", "v"), ["u", "v"], "left_anti").select(F.col("v").alias("doc_id"), "bucket"), "buckets")
     if judged:
         seen = judged[0]
         every = led[0]
@@ -164,11 +164,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         component = groups
     else:
         component = first.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component"))
-    rep = classes.select(*one, F.col("doc_id").alias("rep")).join(component.withColumnRenamed("node", "rep"), "rep", "left")
+    rep = joined(classes.select(*one, F.col("doc_id").alias("rep")), component.withColumnRenamed("node", "rep"), "rep", "left")
     rep = rep.select(*one, F.coalesce("component", "rep").alias("component"))
-    joined = signs.select("doc_id", *one).join(rep, one, "left")
+    placed = joined(signs.select("doc_id", *one), rep, one, "left")
     found = F.when(F.col("n_shingles") > 0, F.col("component"))
-    return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce(found, "doc_id")).alias("component_id")).withColumn(
+    return placed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce(found, "doc_id")).alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
@@ -176,13 +176,13 @@ def _late_links(seen: DataFrame, led: DataFrame, link, percent: int, compare) ->
     """Compare members that left a bucket with near ones that stayed, where both are in different components."""
     groups = written(components(seen.filter(link).select("u", "v")), "components")
     score = (F.col("both") / F.col("either")).alias("score")
-    judged = led.join(seen.select("u", "v", score, link.alias("linked")), ["u", "v"])
+    judged = joined(led, seen.select("u", "v", score, link.alias("linked")), ["u", "v"])
     stayed = judged.filter("NOT linked").select("bucket", "u", F.col("v").alias("s"), F.col("score").alias("s_score"))
     left = judged.filter("linked").select("bucket", "u", F.col("v").alias("l"), F.col("score").alias("l_score"))
     reach = 1 - percent / 100 + 1e-9
-    pairs = stayed.join(left, ["bucket", "u"]).filter(F.col("l_score") <= F.col("s_score") + reach)
+    pairs = joined(stayed, left, ["bucket", "u"]).filter(F.col("l_score") <= F.col("s_score") + reach)
     a, b = (groups.select(F.col("node").alias(x), F.col("component").alias(f"{x}_group")) for x in ("s", "l"))
-    pairs = pairs.join(b, "l").join(a, "s", "left").filter("s_group IS NULL OR s_group <> l_group")
+    pairs = joined(joined(pairs, b, "l"), a, "s", "left").filter("s_group IS NULL OR s_group <> l_group")
     late = compare(pairs.select(F.least("s", "l").alias("u"), F.greatest("s", "l").alias("v")).distinct())
     if late.filter(link).isEmpty():
         return seen, groups
