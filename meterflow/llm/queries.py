@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import chat, decontamination, languages, mixing, near_duplicates, token_files, vectors
+from meterflow.llm import chat, decontamination, languages, mixing, near_duplicates, pages, token_files, vectors
 from meterflow.llm.tables import read, tuned
 from meterflow.session import prepare
 
@@ -91,3 +91,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all embeddings at a cosine of 0.9 or more."""
     return vectors.near_vectors(read(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
+@query
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return pages.extract(read(spark, sf_dir, "pages"))
