@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import chat, decontamination, languages, mixing, near_duplicates, pages, repeats, token_files, vectors
+from meterflow.llm import chat, decontamination, languages, licenses, mixing, near_duplicates, pages, repeats, token_files, vectors
 from meterflow.llm.tables import read, tuned
 from meterflow.session import prepare
 
@@ -103,3 +103,9 @@ def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document keeps when strings of 200 bytes that occur twice are gone."""
     return repeats.without_repeats(read(spark, sf_dir, "documents"))
+
+
+@query
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence notices in all documents."""
+    return licenses.scan(read(spark, sf_dir, "documents"))
