@@ -2,8 +2,9 @@
 
 Documents with the same shingle set form a class, and only its least id goes on. Classes that agree in all
 ``ROWS`` values of one of ``BANDS`` bands share a bucket; at similarity 0.85 a pair misses all buckets with
-probability below 1e-6. No bucket is paired out: in rounds, its least open member is compared with all others,
-linked ones leave the bucket and the rest go on, so copies of one text cost one comparison each. By the
+probability below 1e-6. No bucket is paired out: in rounds, its least open member (then 4, 16, ... members) is
+compared with all others, linked ones leave the bucket and the rest go on, so copies of one text cost one
+comparison each. By the
 triangle inequality of the Jaccard distance, a member that left may still link with one that stayed only if the
 latter is within twice the distance of the first; those few are compared afterwards, across components.
 
@@ -19,12 +20,12 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterflow.llm.components import components
 from meterflow.llm.shingles import mixed, shingle_sets
-from meterflow.llm.tables import joined, raw_texts, slices, written
+from meterflow.llm.tables import joined, new_folder, raw_texts, slices, written
 
 BANDS, ROWS = 25, 5
 BATCH = 25
@@ -138,30 +139,33 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     alike = classes.select("doc_id", "signature")
     link, near = F.col("both") * 100 >= F.col("either") * percent, 2 * percent / 100 - 1
 
-    def compare(pairs: DataFrame) -> DataFrame:
-        return written(verified(plausible(pairs, alike, near), texts, shingle), "compared")
-
-    judged = []
-    led = []
-    while not opened.isEmpty():
-        leaders = opened.groupBy("bucket").agg(F.min("doc_id").alias("u"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket", "u")
-        pairs = written(joined(opened, leaders, "bucket").filter("doc_id > u").select("bucket", "u", F.col("doc_id").alias("v")), "bucket-pairs")
-        new = pairs.select("u", "v").distinct()
-        for done in judged:
-            new = joined(new, done.select("u", "v"), ["u", "v"], "left_anti")
-        judged.append(compare(new))
-        linked = judged[0]
-        for done in judged[1:]:
-            linked = linked.unionByName(done)
-        led.append(pairs)
-        opened = written(joined(pairs, linked.filter(link).select("u", "v"), ["u", "v"], "left_anti").select(F.col("v").alias("doc_id"), "bucket"), "buckets")
-    if judged:
-        seen = judged[0]
-        every = led[0]
-        for a, b in zip(judged[1:], led[1:]):
-            seen, every = seen.unionByName(a), every.unionByName(b)
-        seen, groups = _late_links(written(seen, "judged"), every, link, percent, compare)
-        component = groups
+    spark = docs.sparkSession
+    judged, led = new_folder(spark, "compared"), new_folder(spark, "bucket-pairs")
+
+    def seen() -> DataFrame:
+        return spark.read.schema("u long, v long, both long, either long").parquet(judged)
+
+    def compare(pairs: DataFrame) -> None:
+        verified(plausible(pairs, alike, near), texts, shingle).write.mode("append").parquet(judged)
+
+    compare(opened.select(F.col("doc_id").alias("u"), F.col("doc_id").alias("v")).filter("u < v"))  # the table exists from here on
+    width = 1
+    while True:
+        # the least members of a bucket; Spark keeps that many per task before it shuffles
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("doc_id"))
+        leaders = written(opened.withColumn("rank", rank).filter(F.col("rank") <= width).select("bucket", F.col("doc_id").alias("u")), "leaders")
+        pairs = written(joined(opened, leaders, "bucket").filter("doc_id > u").select("bucket", "u", F.col("doc_id").alias("v")), "bucket-pairs-now")
+        if pairs.isEmpty():
+            break
+        pairs.write.mode("append").parquet(led)
+        # a pair may share buckets in several rounds, and is compared in the first
+        compare(written(joined(pairs.select("u", "v").distinct(), seen().select("u", "v"), ["u", "v"], "left_anti"), "new-pairs"))
+        gone = joined(pairs, seen().filter(link).select("u", "v"), ["u", "v"]).select("bucket", F.col("v").alias("doc_id"))
+        gone = gone.union(leaders.select("bucket", F.col("u").alias("doc_id"))).distinct()
+        opened = written(joined(opened, gone, ["bucket", "doc_id"], "left_anti"), "buckets")
+        width *= 4
+    if width > 1:
+        component = _late_links(seen, spark.read.schema("bucket long, u long, v long").parquet(led), link, percent, compare)
     else:
         component = first.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component"))
     rep = joined(classes.select(*one, F.col("doc_id").alias("rep")), component.withColumnRenamed("node", "rep"), "rep", "left")
@@ -172,18 +176,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _late_links(seen: DataFrame, led: DataFrame, link, percent: int, compare) -> tuple[DataFrame, DataFrame]:
+def _late_links(seen, led: DataFrame, link, percent: int, compare) -> DataFrame:
     """Compare members that left a bucket with near ones that stayed, where both are in different components."""
-    groups = written(components(seen.filter(link).select("u", "v")), "components")
+    groups = written(components(seen().filter(link).select("u", "v")), "components")
     score = (F.col("both") / F.col("either")).alias("score")
-    judged = joined(led, seen.select("u", "v", score, link.alias("linked")), ["u", "v"])
+    judged = joined(led, seen().select("u", "v", score, link.alias("linked")), ["u", "v"])
     stayed = judged.filter("NOT linked").select("bucket", "u", F.col("v").alias("s"), F.col("score").alias("s_score"))
     left = judged.filter("linked").select("bucket", "u", F.col("v").alias("l"), F.col("score").alias("l_score"))
     reach = 1 - percent / 100 + 1e-9
-    pairs = joined(stayed, left, ["bucket", "u"]).filter(F.col("l_score") <= F.col("s_score") + reach)
     a, b = (groups.select(F.col("node").alias(x), F.col("component").alias(f"{x}_group")) for x in ("s", "l"))
-    pairs = joined(joined(pairs, b, "l"), a, "s", "left").filter("s_group IS NULL OR s_group <> l_group")
-    late = compare(pairs.select(F.least("s", "l").alias("u"), F.greatest("s", "l").alias("v")).distinct())
-    if late.filter(link).isEmpty():
-        return seen, groups
-    return seen, written(components(seen.unionByName(late).filter(link).select("u", "v")), "components")
+    stayed, left = joined(stayed, a, "s", "left"), joined(left, b, "l")
+    pairs = joined(stayed, left, ["bucket", "u"]).filter(F.col("l_score") <= F.col("s_score") + reach)
+    pairs = pairs.filter("s_group IS NULL OR s_group <> l_group").select(F.least("s", "l").alias("u"), F.greatest("s", "l").alias("v")).distinct()
+    late = written(joined(pairs, seen().select("u", "v"), ["u", "v"], "left_anti"), "late-pairs")
+    if late.isEmpty():
+        return groups
+    compare(late)
+    return written(components(seen().filter(link).select("u", "v")), "components")
