@@ -3,9 +3,9 @@
 Every string of ``LENGTH`` bytes (a window) is filed under the least hash of its ``GRAM``-byte grams, so equal
 windows meet under one key wherever they stand. Neighbouring windows of one key form a stretch. Stretches whose
 bytes occur twice are repeated as a whole; of these and of all others under a key with different stretches one
-copy goes on. These are cut again by ``SEEDS`` more hashes, which parts the contexts of a frequent line, and what
-still differs under one key is put through suffix sorting by linear grouping, where windows that also start
-elsewhere are neighbours. A stretch that holds its least gram twice may repeat itself and is always sorted.
+copy goes on. Under a key with over ``CROWD`` different stretches, such as the contexts of a frequent line, they are
+cut again by ``SEEDS`` more hashes, which parts them. What differs under one key is put through suffix sorting by
+linear grouping, where windows that also start elsewhere are neighbours. A stretch that holds its least gram twice may repeat itself and is always sorted.
 
 Matches never cross documents, overlaps count, and strings are judged on the input. Null text is empty; texts
 shorter than a window keep all bytes; repeated rows repeat each other and get one result each; rows without id
@@ -25,8 +25,9 @@ from meterflow.llm.suffixes import repeated_windows
 from meterflow.llm.tables import joined, raw_texts, slices, written
 
 LENGTH = 200
-GRAM = 16
+GRAM = 32
 SEEDS = 6
+CROWD = 64
 SORTED_AT_ONCE = 1 << 18
 PLACE_BITS = np.uint64(28)
 _LOW = np.uint64((1 << 28) - 1)
@@ -51,12 +52,13 @@ def cut(data: np.ndarray, running: np.ndarray, starts: np.ndarray, ends: np.ndar
 
     seeds: also file under so many other orders of the grams.
     """
-    wide = length - GRAM + 1
+    gram = min(GRAM, max(1, length // 4))
+    wide = length - gram + 1
     none = np.zeros(0, np.int64)
     if len(data) < length:
         return none, none, none, none, none, none.astype(bool)
-    at = np.arange(len(data) - GRAM + 1)
-    grams = span_hash(running, at, at + GRAM)
+    at = np.arange(len(data) - gram + 1)
+    grams = span_hash(running, at, at + gram)
     windows = len(data) - length + 1
     keys, again = np.zeros(windows, np.uint64), None
     for seed in range(seeds + 1):
@@ -100,15 +102,21 @@ def stretches(docs: DataFrame, length: int) -> DataFrame:
 
 
 def pieces(wanted: DataFrame, length: int) -> DataFrame:
-    """The stretches' bytes, cut by more hashes. wanted: text and an array of (start, n, key, body)."""
+    """The stretches' bytes, cut by more hashes under a crowded key. wanted: text and an array of (start, n, key, body, crowded)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            texts, found = [], []
+            texts, found, plain = [], [], []
             for text, own in zip(raw_texts(batch), batch.column("own").to_pylist()):
                 for s in own:
-                    texts.append(text[s["start"]:s["start"] + s["n"] + length - 1])
-                    found.append(s)
+                    part = text[s["start"]:s["start"] + s["n"] + length - 1]
+                    if s["crowded"]:
+                        texts.append(part)
+                        found.append(s)
+                    else:
+                        plain.append({"key": s["key"], "body": s["body"], "offset": 0, "n": s["n"], "own_key": s["key"], "own_body": s["body"], "again": s["again"], "bytes": part})
+            if plain:
+                yield pa.RecordBatch.from_pylist(plain)
             many = 2000
             for i in range(0, len(texts), many):
                 some, about = texts[i:i + many], found[i:i + many]
@@ -185,25 +193,23 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     docs = docs.withColumn("doc_key", F.xxhash64("doc_id", "text"))
     every = written(stretches(docs, length), "stretches")
-    keys = every.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("body").alias("low"), F.max("body").alias("high"), F.max("again").alias("any_again"))
-    keys = keys.filter("c > 1 OR any_again").select("key", (F.col("any_again") | (F.col("low") != F.col("high"))).alias("differ"))
+    keys = every.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.max("again").alias("any_again")).filter("c > 1 OR any_again").select("key")
     shared = written(joined(every, keys, "key"), "shared-stretches")
     texts = written(joined(docs.select("doc_key", "text"), shared.select("doc_key").distinct(), "doc_key").groupBy("doc_key").agg(
         F.first("text").alias("text")), "shared-texts")
     bodies = written(shared.groupBy("key", "body", "n").agg(
-        F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_key", "start")).alias("where"), F.max("differ").alias("differ")), "bodies")
-    wanted = bodies.filter("differ").select("where.doc_key", F.struct("where.start", "n", "key", "body").alias("s")).groupBy("doc_key").agg(
+        F.count(F.lit(1)).alias("c"), F.min(F.struct("doc_key", "start")).alias("where"), F.max("again").alias("again")), "bodies")
+    differ = bodies.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.max("again").alias("a")).filter("k > 1 OR a").select("key", (F.col("k") > CROWD).alias("crowded"))
+    wanted = joined(bodies, differ, "key").select("where.doc_key", F.struct("where.start", "n", "key", "body", "crowded", "again").alias("s")).groupBy("doc_key").agg(
         F.collect_list("s").alias("own"))
     cuts = written(pieces(joined(texts, wanted, "doc_key").select("text", "own"), length), "pieces")
-    own = cuts.groupBy("own_key").agg(F.count(F.lit(1)).alias("c"), F.min("own_body").alias("low"), F.max("own_body").alias("high"), F.max("again").alias("any_again"))
-    own = own.filter("c > 1 OR any_again").select("own_key", (F.col("any_again") | (F.col("low") != F.col("high"))).alias("differ"))
-    met = written(joined(cuts, own, "own_key"), "met-pieces")
-    times = met.groupBy("own_key", "own_body").agg(F.count(F.lit(1)).alias("times"), F.max("differ").alias("differ"), F.min("n").alias("n"), F.first("bytes").alias("bytes"))
-    times = written(times, "distinct-pieces")
+    times = written(cuts.groupBy("own_key", "own_body").agg(
+        F.count(F.lit(1)).alias("times"), F.max("again").alias("again"), F.min("n").alias("n"), F.first("bytes").alias("bytes")), "distinct-pieces")
+    apart = times.groupBy("own_key").agg(F.count(F.lit(1)).alias("k"), F.max("again").alias("a")).filter("k > 1 OR a").select("own_key")
     whole = times.filter("times > 1").select("own_key", "own_body", F.lit(0).cast("long").alias("first"), F.col("n").alias("last"))
-    part = sorted_repeats(times.filter("differ").select("own_key", "own_body", "bytes"), length)
+    part = sorted_repeats(joined(times, apart, "own_key").select("own_key", "own_body", "bytes"), length)
     flagged = written(whole.unionByName(part), "flagged")
-    inside = joined(met.select("key", "body", "offset", "own_key", "own_body"), flagged, ["own_key", "own_body"]).select(
+    inside = joined(cuts.select("key", "body", "offset", "own_key", "own_body"), flagged, ["own_key", "own_body"]).select(
         "key", "body", (F.col("offset") + F.col("first")).alias("first"), (F.col("offset") + F.col("last")).alias("last"))
     full = bodies.filter("c > 1").select("key", "body", F.lit(0).cast("long").alias("first"), F.col("n").alias("last"))
     ranges = written(inside.unionByName(full), "ranges")
