@@ -4,7 +4,7 @@ Benchmark items, ``BLOCK`` at a time, are cut into passages and weighed by TF-ID
 the whole corpus. A distributed randomised SVD of these passages (random range, its orthogonal basis, the
 projected matrix feature by feature) gives a latent space of ``RANK`` dimensions. All documents are then read
 once per block: overlapping windows of ``SCALES`` words are projected, a window whose cosine with a passage of
-its scale reaches ``COSINE`` is a candidate, and the words around it are compared with the whole item: the longest
+its scale reaches ``COSINE``, and ``FULL_COSINE`` against the window's whole TF-IDF length, is a candidate, and the words around it are compared with the whole item: the longest
 common subsequence must hold ``SHARE`` of the item, or ``LOWER_SHARE`` if the answer, the item's last sentence,
 is there in full and in order. Items are the stated query set; no window is skipped and no candidate is cut off.
 
@@ -30,6 +30,7 @@ BLOCK = 512
 SEGMENT = 8
 SCALES = (16, 32, 64)
 COSINE = 0.5
+FULL_COSINE = 0.35
 SHARE, LOWER_SHARE = 0.75, 0.6
 MATCH = "doc_id long, item_id long, cosine double, lcs_words int, item_words int, answer_found boolean"
 _WORD_BYTES = np.full(256, 32, np.uint8)
@@ -184,7 +185,10 @@ def _block_matches(spark, docs: DataFrame, block: list[tuple[int, str]], weights
     table = np.zeros((FEATURES, coordinates.shape[1]), np.float32)
     table[feature] = coordinates
     query = np.add.reduceat(table[features(pieces)[0]], features(pieces)[2][:-1])
-    query /= np.maximum(np.linalg.norm(query, axis=1, keepdims=True), 1e-9)
+    latent = np.linalg.norm(query, axis=1)
+    # the share of its TF-IDF length that a passage keeps in the latent space
+    share = latent / np.maximum([float(np.linalg.norm(n * weights[f])) for f, n in (np.unique(features([p])[0], return_counts=True) for p in pieces)], 1e-9)
+    query /= np.maximum(latent[:, None], 1e-9)
     owner, scale = np.array(owner), np.array(scale)
     known = np.zeros(FEATURES, np.int32)
     known[feature] = np.arange(1, len(feature) + 1)
@@ -202,6 +206,7 @@ def _block_matches(spark, docs: DataFrame, block: list[tuple[int, str]], weights
             out: dict[tuple, tuple] = {}
             if len(begin):
                 sums = np.add.reduceat(small[known[feature]], begin)
+                squares = np.concatenate(([0.0], np.cumsum(np.add.reduceat(weights[feature] ** 2, begin), dtype=np.float64)))
                 running = np.vstack([np.zeros((1, sums.shape[1])), np.cumsum(sums, axis=0, dtype=np.float64)])
                 for size in sorted(set(scale.tolist())):
                     own = np.flatnonzero(scale == size)
@@ -210,9 +215,10 @@ def _block_matches(spark, docs: DataFrame, block: list[tuple[int, str]], weights
                     left = np.flatnonzero((inside % stride == 0) & ((inside == 0) | (inside + stride < per[text])))
                     right = np.minimum(left + wide, (first + per)[text[left]])
                     window = (running[right] - running[left]).astype(np.float32)
-                    window /= np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-9)
-                    near = window @ query[own].T
-                    for w, j in zip(*np.nonzero(near >= COSINE)):
+                    inner = window @ query[own].T
+                    near = inner / np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-9)
+                    whole = np.sqrt(np.maximum(squares[right] - squares[left], 1e-9)).astype(np.float32)
+                    for w, j in zip(*np.nonzero((near >= COSINE) & (inner >= FULL_COSINE * share[own] * whole[:, None]))):
                         k, t = owner[own[j]], text[left[w]]
                         n = len(items[k])
                         a = max(at[t], begin[left[w]] - n)
