@@ -31,15 +31,19 @@ def champion_history(runs: DataFrame, model: str = "model", version: str = "vers
 
     Without a tolerance the champion is the running best. With one, only runs at least as good as every
     earlier run can be promoted (as long as metrics are not negative), so only those are walked in
-    order, with one number as state. A run without the metric is never promoted.
+    order, with one number as state. A run without the metric, or with one that is not a
+    number, is never promoted.
     """
     if tolerance < 0:
         raise ValueError("tolerance must not be negative")
+    given, columns = "_given", [c if c != metric else F.col("_given").alias(metric) for c in runs.columns]
+    # a metric that is not a number compares with nothing, so it is no metric
+    runs = runs.withColumn(given, F.col(metric)).withColumn(metric, F.when(~F.isnan(metric), F.col(metric)))
     compared = _with_best_before(runs, model, version, metric, higher_is_better, chunk)
     ahead = F.col(metric) >= F.col("_best") if higher_is_better else F.col(metric) <= F.col("_best")
     record = F.col(metric).isNotNull() & (F.col("_best").isNull() | ahead)
     if tolerance == 0:
-        return compared.select(*runs.columns, record.alias("promoted"))
+        return compared.select(*columns, record.alias("promoted"))
 
     walked_rows = F.col(metric).isNotNull() & (record | F.coalesce(F.col("_best") < 0, F.lit(False)))
     marked = materialise(compared.select(*runs.columns, walked_rows.alias("_walk")), "champions")
@@ -62,7 +66,7 @@ def champion_history(runs: DataFrame, model: str = "model", version: str = "vers
                 marks.append(won)
             yield batch.assign(promoted=marks)
 
-    return rest.unionByName(candidates.mapInPandas(walk, schema).drop("_who"))
+    return rest.unionByName(candidates.mapInPandas(walk, schema).drop("_who")).select(*columns, "promoted")
 
 
 def current_champions(history: DataFrame, model: str = "model", version: str = "version") -> DataFrame:

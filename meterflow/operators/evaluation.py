@@ -31,13 +31,17 @@ def flat_metrics(by_split: DataFrame) -> DataFrame:
     ])
 
 
+def _missing(metric: str):
+    return F.col(metric).isNull() | F.isnan(F.col(metric))
+
+
 def gated(metrics: DataFrame, gate: QualityGate = QualityGate()) -> DataFrame:
-    """Reasons for which each row misses the gate, and whether it passes. A threshold may be off."""
+    """Reasons for which each row misses the gate, and whether it passes. A threshold may be off; a missing metric misses it."""
     reasons = []
     if gate.max_mae is not None:
-        reasons.append(F.when(F.col("val_mae") > gate.max_mae, F.lit("val_mae above maximum")))
+        reasons.append(F.when(_missing("val_mae") | (F.col("val_mae") > gate.max_mae), F.lit("val_mae above maximum")))
     if gate.min_r2 is not None:
-        reasons.append(F.when(F.col("val_r2") < gate.min_r2, F.lit("val_r2 below minimum")))
+        reasons.append(F.when(_missing("val_r2") | (F.col("val_r2") < gate.min_r2), F.lit("val_r2 below minimum")))
     listed = F.array_compact(F.array(*reasons)) if reasons else F.array().cast("array<string>")
     return metrics.withColumn("gate_reasons", listed).withColumn("passed", F.size("gate_reasons") == 0)
 

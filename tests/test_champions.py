@@ -72,3 +72,12 @@ def test_gate_bounds_are_inclusive_and_may_be_off(spark):
         check_gate(df.filter("val_mae > 8"))
     with pytest.raises(QualityGateError):
         check_gate(df.filter("val_mae = 8"), QualityGate(max_mae=0.0))
+
+
+@pytest.mark.parametrize("higher", [True, False])
+@pytest.mark.parametrize("tolerance", [0.0, 0.01])
+def test_a_metric_that_is_no_number_is_no_champion(spark, higher, tolerance):
+    values = [0.5, float("nan"), 0.9, 0.2]
+    df = spark.createDataFrame([("m", v, x) for v, x in enumerate(values)], "model string, version int, val_mae double")
+    rows = champion_history(df, higher_is_better=higher, tolerance=tolerance).orderBy("version").collect()
+    assert [r.promoted for r in rows] == ([True, False, True, False] if higher else [True, False, False, True])
