@@ -46,7 +46,7 @@ def test_absent_optional_column_is_left_out(spark):
 
 def test_implausible_speeds_are_dropped(spark):
     frame = feature_input()
-    frame["trip_distance"] = [30.0, 0.2, 8.0]  # 90 mph, then 0.4 mph for half an hour
+    frame["trip_distance"] = [60.0, 1.25, 0.2]  # 144 mph, plausible, then 0.2 mph for an hour
     assert training_features(table(spark, frame)).count() == 1
 
 
@@ -59,7 +59,7 @@ def test_fractions_of_minutes_are_kept(spark):
 def test_green_aliases(spark):
     frame = valid_trips().rename(columns={
         "tpep_pickup_datetime": "lpep_pickup_datetime", "tpep_dropoff_datetime": "lpep_dropoff_datetime"})
-    assert {row[TARGET] for row in training_features(table(spark, frame)).collect()} == {20.0, 30.0}
+    assert {row[TARGET] for row in training_features(table(spark, frame)).collect()} == {19.0, 26.0}
 
 
 def test_scoring_features_equal_training_features(spark):
