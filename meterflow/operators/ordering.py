@@ -1,7 +1,9 @@
 """Positions in a global order, without ever putting the table, or one hot key of it, in one task."""
 
+import math
 from collections.abc import Callable, Sequence
-from datetime import datetime, timedelta
+from dataclasses import dataclass
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 from operator import or_
 from typing import Any
@@ -75,77 +77,128 @@ def trailing_counts(df: DataFrame, position: str, counters: Sequence[str], width
 def keys_at_ranks(df: DataFrame, order: Sequence[str], pick: Callable[[int], Sequence[int]]) -> list[dict[str, Any]]:
     """Order-key values of the rows at some 1-based ranks, by counting instead of sorting.
 
-    ``pick`` maps the row count to the wanted ranks. Each pass counts rows in at most 1024 equal ranges
-    of the first column that still varies and keeps the range holding the rank; once that holds few
-    rows, a small top-k finds the row. Filters reach the scan, so later passes read little. The first
-    two passes serve all ranks.
+    ``pick`` maps the row count to the wanted ranks. Each pass counts the rows in at most some 1024 ranges
+    of the first column that still varies and goes on with the range that holds the rank, between the
+    least and greatest value seen there. Numbers, times, dates, flags, text and bytes are all counted; a
+    range of few rows is finished by a top-k, which finds the same row in fewer jobs. Filters on stored
+    columns reach the scan, so later passes read little. The first two passes serve all ranks.
     """
     scope = df.select(*order)
-    bounds = _bounds(scope, order[0])
-    ranks = pick(bounds.rows)
-    first = _range_counts(scope, order[0], bounds.lo, bounds.hi) if ranks and bounds.rows > _FEW_ROWS else None
-    return [_key_at_rank(scope, order, rank, bounds, first) for rank in ranks]
+    kinds = [_kind(scope, name) for name in order]
+    whole = scope.agg(F.count(F.lit(1)).alias("rows"), *[F.count(name).alias(f"keyed_{i}") for i, name in enumerate(order)],
+                      F.min(kinds[0].key).alias("lo"), F.max(kinds[0].key).alias("hi")).first()
+    for i, name in enumerate(order):
+        if whole[f"keyed_{i}"] < whole.rows:
+            raise DataValidationError(f"order column {name} holds missing values")
+    ranks = pick(whole.rows)
+    if any(not 1 <= rank <= whole.rows for rank in ranks):
+        raise DataValidationError(f"no row at one of the ranks {list(ranks)} of {whole.rows}")
+    first = None
+    if ranks and whole.rows > _FEW_ROWS and not _same(whole.lo, whole.hi):
+        first = _range_counts(scope, kinds[0], whole.lo, whole.hi)
+    return [_key_at_rank(scope, kinds, rank, whole, first) for rank in ranks]
 
 
 def key_at_rank(df: DataFrame, order: Sequence[str], rank: int) -> dict[str, Any]:
     return keys_at_ranks(df, order, lambda _: [rank])[0]
 
 
-def _key_at_rank(scope: DataFrame, order: Sequence[str], rank: int, bounds: Row, counts: list[Row] | None):
-    remaining = rank
-    for name in order:
-        bounds = bounds or _bounds(scope, name)
-        if bounds.rows < remaining or remaining < 1:
-            raise DataValidationError(f"no row at rank {rank}")
-        lo, hi, rows = bounds.lo, bounds.hi, bounds.rows
-        while rows > _FEW_ROWS and lo < hi:
-            width = _width(lo, hi)
-            for row in counts or _range_counts(scope, name, lo, hi):
-                if remaining <= row.rows:
-                    lo, hi, rows = lo + row.bin * width, min(hi, lo + (row.bin + 1) * width - 1), row.rows
+def _key_at_rank(scope: DataFrame, kinds: list["_Kind"], rank: int, whole: Row, counts: list[Row] | None):
+    order, found = [kind.name for kind in kinds], {}
+    for i, kind in enumerate(kinds):
+        if i:
+            whole = scope.agg(F.count(F.lit(1)).alias("rows"), F.min(kind.key).alias("lo"), F.max(kind.key).alias("hi")).first()
+        part = whole
+        while part.rows > _FEW_ROWS and not _same(part.lo, part.hi):
+            for row in counts or _range_counts(scope, kind, part.lo, part.hi):
+                if rank <= row.rows:
+                    part = row
                     break
-                remaining -= row.rows
+                rank -= row.rows
             counts = None
-        scope, bounds = scope.filter(_within(scope, name, lo, hi)), None
-        if rows <= _FEW_ROWS:
-            return scope.orderBy(*order).offset(remaining - 1).limit(1).first().asDict()
-    return scope.first().asDict()  # every key column is pinned to one value
+            scope = scope.filter(kind.stored.between(kind.literal(part.lo), kind.literal(part.hi)))
+        if part.rows <= _FEW_ROWS:
+            rest = [k.key.alias(k.name) for k in kinds[i:]]
+            last = scope.orderBy(*order).offset(rank - 1).limit(1).select(*rest).first()
+            return found | {k.name: k.value(last[k.name]) for k in kinds[i:]}
+        found[kind.name] = kind.value(part.lo)  # this column is pinned to one value
+        counts = None
+    return found
 
 
-def _bounds(scope: DataFrame, name: str) -> Row:
-    whole = _as_integer(scope, name)
-    bounds = scope.agg(F.min(whole).alias("lo"), F.max(whole).alias("hi"),
-                       F.count(F.lit(1)).alias("rows"), F.count(whole).alias("keyed")).first()
-    if bounds.keyed < bounds.rows:
-        raise DataValidationError(f"order column {name} holds missing values")
-    return bounds
+def _same(lo: Any, hi: Any) -> bool:
+    return lo == hi or (lo != lo and hi != hi)  # not-a-number is one value
 
 
-def _width(lo: int, hi: int) -> int:
-    return -(-(hi - lo + 1) // _BINS)
-
-
-def _range_counts(scope: DataFrame, name: str, lo: int, hi: int) -> list[Row]:
-    """Rows per non-empty range, never more than ``_BINS`` of them."""
-    place = F.call_function("div", _as_integer(scope, name) - F.lit(lo), F.lit(_width(lo, hi)))
-    counts = scope.filter(_within(scope, name, lo, hi)).groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("rows"))
+def _range_counts(scope: DataFrame, kind: "_Kind", lo: Any, hi: Any) -> list[Row]:
+    """Rows, least and greatest value of each range that is not empty, in order."""
+    inside = scope.filter(kind.stored.between(kind.literal(lo), kind.literal(hi)))
+    counts = inside.groupBy(kind.bins(lo, hi).alias("bin")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(kind.key).alias("lo"), F.max(kind.key).alias("hi"))
     return counts.orderBy("bin").collect()
 
 
-def _as_integer(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), F.col(name))
-    if isinstance(kind, T.IntegralType):
-        return F.col(name).cast("bigint")
-    raise DataValidationError(f"too many rows are tied before order column {name}, which is not an integer or time")
+@dataclass(frozen=True)
+class _Kind:
+    """How a column is counted: ``key`` is collected, ``bins`` never falls as it rises and tells ``lo`` from ``hi``."""
 
+    name: str
+    stored: Column
+    key: Column
+    bins: Callable[[Any, Any], Column]
+    value: Callable[[Any], Any] = lambda v: v
+    literal: Callable[[Any], Column] = F.lit
 
-def _within(df: DataFrame, name: str, lo: int, hi: int) -> Column:
-    if isinstance(df.schema[name].dataType, T.TimestampNTZType):
-        first, last = (F.lit(_EPOCH + timedelta(microseconds=v)).cast("timestamp_ntz") for v in (lo, hi))
-        return F.col(name).between(first, last)
-    return F.col(name).between(lo, hi)
+
+def _kind(df: DataFrame, name: str) -> _Kind:
+    kind, col = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, T.IntegralType):
+        return _Kind(name, col, col.cast("bigint"), _whole_bins(col.cast("bigint")))
+    if isinstance(kind, T.BooleanType):
+        return _Kind(name, col.cast("bigint"), col.cast("bigint"), _whole_bins(col.cast("bigint")), bool)
+    if isinstance(kind, T.TimestampNTZType):
+        micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH).cast("timestamp_ntz"), col)
+        at = lambda v: _EPOCH + timedelta(microseconds=v)
+        return _Kind(name, col, micros, _whole_bins(micros), at, lambda v: F.lit(at(v)).cast("timestamp_ntz"))
+    if isinstance(kind, T.TimestampType):
+        at = lambda v: _EPOCH.replace(tzinfo=timezone.utc) + timedelta(microseconds=v)
+        return _Kind(name, col, F.unix_micros(col), _whole_bins(F.unix_micros(col)), at, lambda v: F.timestamp_micros(F.lit(v)))
+    if isinstance(kind, T.DateType):
+        at = lambda v: _EPOCH.date() + timedelta(days=v)
+        return _Kind(name, col, F.unix_date(col), _whole_bins(F.unix_date(col).cast("bigint")), at, lambda v: F.lit(at(v)))
+    if isinstance(kind, (T.FractionalType, T.DecimalType)):
+        return _Kind(name, col, col, lambda lo, hi: _real_bins(col, kind, lo, hi))
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return _Kind(name, col, col, lambda lo, hi: _byte_bins(col.cast("binary"), lo, hi))
+    raise DataValidationError(f"order column {name} of type {kind.simpleString()} has no order")
+
+
+def _whole_bins(key: Column) -> Callable[[int, int], Column]:
+    return lambda lo, hi: F.call_function("div", key, F.lit(-(-(hi - lo + 1) // _BINS)))
+
+
+def _real_bins(key: Column, kind: T.DataType, lo: Any, hi: Any) -> Column:
+    if isinstance(kind, T.DecimalType):
+        offset, span = (key - F.lit(lo)).cast("double"), float(hi - lo)
+    elif not (math.isfinite(lo) and math.isfinite(hi)):
+        key = key.cast("double")
+        return (F.when(F.isnan(key), 3).when(key == float("inf"), 2).when(key == float("-inf"), 0).otherwise(1))
+    else:
+        scale = 1.0 if math.isfinite(hi - lo) else 0.5  # the widest spans overflow
+        offset, span = key.cast("double") * scale - lo * scale, hi * scale - lo * scale
+    return F.least(F.floor(offset / span * _BINS), F.lit(_BINS - 1))
+
+
+def _byte_bins(key: Column, lo: Any, hi: Any) -> Column:
+    """By the two bytes after what the least and the greatest value have in common; a missing byte comes first."""
+    lo, hi = (v.encode() if isinstance(v, str) else bytes(v) for v in (lo, hi))
+    shared = next((i for i, (a, b) in enumerate(zip(lo, hi)) if a != b), min(len(lo), len(hi)))
+    place = lambda v: sum((v[shared + i] + 1 if shared + i < len(v) else 0) * w for i, w in enumerate((257, 1)))
+
+    def byte(i: int) -> Column:
+        return F.coalesce(F.conv(F.hex(F.substring(key, shared + 1 + i, 1)), 16, 10).try_cast("bigint") + 1, F.lit(0))
+
+    return F.call_function("div", byte(0) * 257 + byte(1), F.lit(-(-(place(hi) - place(lo) + 1) // _BINS)))
 
 
 def at_or_before(key: dict[str, Any], df: DataFrame) -> Column:

@@ -2,9 +2,12 @@
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterflow.errors import DataValidationError
 from meterflow.functions.parsing import lenient_timestamp
@@ -84,14 +87,29 @@ def check_split(split: DataFrame) -> dict[str, int]:
 
 
 def seeded_subsample(df: DataFrame, rows: int, seed: int, key: str = "trip_id") -> DataFrame:
-    """Exactly ``rows`` rows, the same ones for the same seed and keys; all rows when there are fewer.
+    """Exactly ``rows`` rows, the same ones for the same seed and rows; all rows when there are fewer.
 
-    The rows with the smallest hashes are the sample. Their largest hash is found by counting, so the
-    sample is a filter.
+    The rows with the smallest hashes are the sample. The last of them is found by counting, so the sample
+    is a filter. Rows that repeat an id are told apart by a hash of their other columns; of rows equal in
+    all columns the missing number is one row repeated.
     """
-    hashed = df.withColumn("_hash", F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 1))
-    cut = keys_at_ranks(hashed, ("_hash", key), lambda total: [rows] if total > rows else [])
-    return hashed.filter(at_or_before(cut[0], hashed)).drop("_hash") if cut else df
+    other = [f.name for f in df.schema if f.name != key and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    hashed = df.withColumns({
+        "_hash": F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 1),
+        "_rest": F.xxhash64(F.lit(seed), *other),
+    })
+    order = ("_hash", key, "_rest")
+    cut = keys_at_ranks(hashed, order, lambda total: [rows] if total > rows else [])
+    if not cut:
+        return df
+    upto = at_or_before(cut[0], hashed)
+    last = reduce(and_, [F.col(name) == F.lit(value).cast(hashed.schema[name].dataType) for name, value in cut[0].items()])
+    taken = hashed.agg(F.count_if(upto & ~last).alias("before"), F.count_if(last).alias("tied")).first()
+    missing = rows - taken.before
+    if missing == taken.tied:
+        return hashed.filter(upto).select(*df.columns)
+    equal = hashed.filter(last).limit(1).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(missing))))
+    return hashed.filter(upto & ~last).select(*df.columns).unionByName(equal.select(*df.columns))
 
 
 def head_rows(df: DataFrame, rows: int, order: Sequence[str] = ("pickup_datetime", "trip_id")) -> DataFrame:

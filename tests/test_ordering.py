@@ -1,5 +1,7 @@
 import random
-from datetime import datetime, timedelta
+from collections import Counter
+from datetime import date, datetime, timedelta, timezone
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -114,3 +116,53 @@ def test_subsample_is_exact_and_repeatable(spark):
     other = {r.trip_id for r in seeded_subsample(df, 333, seed=2).collect()}
     assert len(one) == 333 and one == again and one != other
     assert seeded_subsample(df, 5000, seed=1).count() == 2000
+
+
+def texts(count):
+    rng = random.Random(7)
+    return ["same" * 3 + rng.choice(["", "\x00", "a", "ab", "é", "z" * rng.randrange(4)]) for _ in range(count)]
+
+
+KINDS = {
+    "string": texts(300),
+    "binary": [t.encode() for t in texts(300)],
+    "double": [random.Random(i).choice([0.0, 5e-324, -1.7e308, 1.7e308, float("inf"), float("-inf"), float("nan"), i / 7]) for i in range(300)],
+    "decimal(12,3)": [Decimal(i * i % 97) / 8 for i in range(300)],
+    "timestamp": [datetime(2026, 3, 29, tzinfo=timezone.utc) + timedelta(minutes=i * i % 211) for i in range(300)],
+    "date": [date(1969, 12, 1) + timedelta(days=i * i % 61) for i in range(300)],
+    "boolean": [i % 3 == 0 for i in range(300)],
+    "bigint": [(-1) ** i * (2 ** 63 - 1 - i % 5) for i in range(300)],
+}
+
+
+@pytest.mark.parametrize("kind, few", [*((kind, 0) for kind in KINDS), ("string", 1000), ("timestamp", 1000)])
+def test_key_at_rank_counts_every_kind_of_column(spark, monkeypatch, kind, few):
+    monkeypatch.setattr(ordering, "_FEW_ROWS", few)
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(KINDS[kind])], f"k {kind}, trip_id bigint").repartition(2)
+    ranked = [r.trip_id for r in df.orderBy("k", "trip_id").collect()]
+    for rank in (140, 300):
+        key = key_at_rank(df, ("k", "trip_id"), rank)
+        assert key["trip_id"] == ranked[rank - 1]
+        assert df.filter(ordering.at_or_before(key, df)).count() == rank
+
+
+def test_split_by_ratio_with_one_time_and_text_ids(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "_FEW_ROWS", 50)
+    rows = [(START, f"trip-{i * 7919 % 4001:05d}") for i in range(4001)]
+    df = spark.createDataFrame(rows, "pickup_datetime timestamp, trip_id string").repartition(6)
+    split = split_by_ratio(df)
+    assert {r.split: r["rows"] for r in split_sizes(split).collect()} == {"train": 2800, "validation": 600, "test": 601}
+    ids = {s: sorted(r.trip_id for r in split.filter(f"split = '{s}'").collect()) for s in ("train", "validation", "test")}
+    assert ids["train"][-1] < ids["validation"][0] and ids["validation"][-1] < ids["test"][0]
+
+
+@pytest.mark.parametrize("few", [0, 10_000])
+def test_subsample_is_exact_when_ids_and_rows_repeat(spark, monkeypatch, few):
+    monkeypatch.setattr(ordering, "_FEW_ROWS", few)
+    rows = [(i % 4, START + timedelta(seconds=i % 40 if i % 2 else 0)) for i in range(800)]
+    df = frame(spark, rows)
+    for wanted in (150, 799):
+        took = sorted(map(tuple, seeded_subsample(df, wanted, seed=3).collect()))
+        assert len(took) == wanted
+        assert took == sorted(map(tuple, seeded_subsample(df.repartition(3), wanted, seed=3).collect()))
+        assert not Counter(took) - Counter(rows)
