@@ -57,7 +57,10 @@ def clean_files(spark: SparkSession, root: str, work: DataFrame, limits: Cleanin
     """Audit and clean files: one narrow scan for the reports, one for the rows of files that pass."""
     files = materialise(file_table(spark, root, "raw").join(work.select("filename"), "filename", "left_semi"), "work")
     reported = cleaning_report(raw_trips(spark, files), ["filename"], limits)
-    report = materialise(with_name_parts(reported).withColumn("message", audit_message(limits)), "report")
+    # a file without rows has no group of its own
+    every = files.select("filename").distinct().join(reported, "filename", "left").fillna(
+        0, ["initial_rows", "cleaned_rows", "dropped_rows", "loss_percentage", "max_null_pct"]).fillna(True, ["over_limit"])
+    report = materialise(with_name_parts(every).withColumn("message", audit_message(limits)), "report")
     good, bad = report.filter(~F.col("over_limit")), report.filter("over_limit")
     verdicts = {row.filename: row.over_limit for row in report.select("filename", "over_limit").collect()}
     passed = sorted(name for name, over in verdicts.items() if not over)

@@ -61,9 +61,10 @@ def file_table(spark: SparkSession, root: str, zone: str, name: str = "") -> Dat
     below = re.escape("/" + re.sub(r"^[a-z0-9]+:/+[^/]*", "", path).strip("/") + "/")
     whole = rf"^(.*{below}(?:[^/=]+=)?([^/._][^/]*\.parquet))(?:/[^/._][^/]*)?$"
     source = F.col("_metadata.file_path")
+    plain = F.url_decode(F.replace(source, F.lit("+"), F.lit("%2B")))  # the metadata encode blanks and the like
     return found.select(
-        source.alias("source_path"), F.regexp_extract(source, whole, 1).alias("data_path"),
-        F.regexp_extract(source, whole, 2).alias("filename"), "length").filter("filename <> ''")
+        source.alias("source_path"), F.regexp_extract(plain, whole, 1).alias("data_path"),
+        F.regexp_extract(plain, whole, 2).alias("filename"), "length").filter("filename <> ''")
 
 
 def list_zone(spark: SparkSession, root: str, zone: str, name: str = "") -> DataFrame:

@@ -37,7 +37,7 @@ def month(year, number, rows=300, seed=0, bad=0):
 
 def land(root, dataset, year, number, **kwargs):
     folder = root / "raw"
-    folder.mkdir(exist_ok=True)
+    folder.mkdir(parents=True, exist_ok=True)
     month(year, number, **kwargs).to_parquet(folder / f"{dataset}_tripdata_{year}-{number:02d}.parquet")
 
 
@@ -171,3 +171,16 @@ def test_run_records(spark, tmp_path):
     runs = read_runs(spark, root)
     assert next_version(runs, "m") == 4 and champion_version(runs, "m") == 3
     assert champion_version(runs, "m", tolerance=0.5) == 1
+
+
+def test_etl_marks_an_empty_file_below_a_path_with_blanks(spark, tmp_path):
+    root = tmp_path / "own zone + more"
+    land(root, "green", 2026, 1)
+    land(root, "green", 2026, 2)
+    empty = f"{zone_path(str(root), 'raw')}/green_tripdata_2026-03.parquet"
+    spark.read.parquet(f"{zone_path(str(root), 'raw')}/green_tripdata_2026-01.parquet").limit(0).write.parquet(empty)
+    with pytest.raises(DataValidationError, match="2026-03"):
+        etl_job(spark, str(root), "green")
+    events = mf.read_events(spark, str(root))
+    assert mf.file_status(events, "green_tripdata_2026-03.parquet", "green") == "FAILED"
+    assert mf.file_status(events, "green_tripdata_2026-02.parquet", "green") == "PROCESSED"
