@@ -47,7 +47,11 @@ def bucket_table(df: DataFrame, feature: Monitored, by: Sequence[str] = ()) -> D
 
 def reference_distribution(df: DataFrame, feature: Monitored = DISTANCE,
                            settings: DriftSettings = DriftSettings()) -> DataFrame:
-    """Edges, smoothed shares and sample size of a training table, in one row; no row without samples."""
+    """Edges, smoothed shares and sample size of a training table, in one row; no row without samples.
+
+    Values that are null or not a number are no samples.
+    """
+    df = df.filter(~F.isnan(feature.column))
     counts = [F.col(name) for name in feature.names]
     counted = bucket_table(df, feature).withColumn("sample_count", sum(counts[1:], counts[0]))
     return counted.filter("sample_count > 0").select(

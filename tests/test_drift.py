@@ -139,3 +139,10 @@ def test_window_and_step_must_fit(spark):
         rolling_drift(arrivals(spark, [(1.0, 1.0)]), ["n"], (Monitored("trip_distance", (1.0,), (0.5, 0.5)),),
                       DriftSettings(window_rows=55))
     assert DURATION.buckets == 9
+
+
+def test_reference_leaves_out_what_is_not_a_number(spark):
+    known = [(0.5,), (3.0,), (None,)]
+    plain = reference_distribution(spark.createDataFrame(known, "trip_distance double")).first()
+    mixed = reference_distribution(spark.createDataFrame([*known, (float("nan"),)], "trip_distance double")).first()
+    assert plain == mixed and mixed.sample_count == 2
