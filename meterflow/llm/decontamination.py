@@ -4,14 +4,17 @@ Benchmark items, ``BLOCK`` at a time, are cut into passages and weighed by TF-ID
 the whole corpus. A distributed randomised SVD of these passages (random range, its orthogonal basis, the
 projected matrix feature by feature) gives a latent space of ``RANK`` dimensions. All documents are then read
 once per block: overlapping windows of ``SCALES`` words are projected, a window whose cosine with a passage of
-its scale reaches ``COSINE``, and ``FULL_COSINE`` against the window's whole TF-IDF length, is a candidate, and the words around it are compared with the whole item: the longest
-common subsequence must hold ``SHARE`` of the item, or ``LOWER_SHARE`` if the answer, the item's last sentence,
-is there in full and in order. Items are the stated query set; no window is skipped and no candidate is cut off.
+its scale reaches ``COSINE`` is a candidate, whatever else the window holds, and the words around it are compared
+with the whole item: the longest common subsequence must hold ``SHARE`` of the item, or ``LOWER_SHARE`` if the
+answer, the item's last sentence, is there in full and in order. The subsequence is not computed where too few words
+of the item stand together for it, which loses nothing. Items are the stated query set; no window is skipped and no
+candidate is cut off.
 
 Null, empty and blank texts match nothing; items without words or id are left out; repeated rows give one
 result; words are lower-cased runs of letters and digits, so punctuation and layout do not hide a match.
 """
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from functools import reduce
@@ -28,9 +31,8 @@ FEATURES = 1 << 18
 RANK, SPARE = 64, 16
 BLOCK = 512
 SEGMENT = 8
-SCALES = (16, 32, 64)
+SCALES = (4, 8, 16, 32, 64)
 COSINE = 0.5
-FULL_COSINE = 0.35
 SHARE, LOWER_SHARE = 0.75, 0.6
 MATCH = "doc_id long, item_id long, cosine double, lcs_words int, item_words int, answer_found boolean"
 _WORD_BYTES = np.full(256, 32, np.uint8)
@@ -185,53 +187,58 @@ def _block_matches(spark, docs: DataFrame, block: list[tuple[int, str]], weights
     table = np.zeros((FEATURES, coordinates.shape[1]), np.float32)
     table[feature] = coordinates
     query = np.add.reduceat(table[features(pieces)[0]], features(pieces)[2][:-1])
-    latent = np.linalg.norm(query, axis=1)
-    # the share of its TF-IDF length that a passage keeps in the latent space
-    share = latent / np.maximum([float(np.linalg.norm(n * weights[f])) for f, n in (np.unique(features([p])[0], return_counts=True) for p in pieces)], 1e-9)
-    query /= np.maximum(latent[:, None], 1e-9)
+    query /= np.maximum(np.linalg.norm(query, axis=1, keepdims=True), 1e-9)
     owner, scale = np.array(owner), np.array(scale)
     known = np.zeros(FEATURES, np.int32)
     known[feature] = np.arange(1, len(feature) + 1)
     small = np.vstack([np.zeros((1, coordinates.shape[1]), np.float32), coordinates])
+    segment = min(SEGMENT, int(scale.min()) // 2)
+    used = [known[features([plain(text.encode())])[0]] for _, text in block]
+    used = [x for x in used if len(x)]
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=1 << 19):
             feature, hashes, at = features([plain(t) for t in raw_texts(batch)])
             docs_of = batch.column("doc_id").to_pylist()
             sizes = np.diff(at)
-            per = -(-sizes // SEGMENT)  # segments of each text
+            per = -(-sizes // segment)  # segments of each text
             first = np.cumsum(per) - per
             text = np.repeat(np.arange(len(per)), per)
-            begin = at[:-1][text] + (np.arange(len(text)) - first[text]) * SEGMENT
+            begin = at[:-1][text] + (np.arange(len(text)) - first[text]) * segment
             out: dict[tuple, tuple] = {}
             if len(begin):
-                sums = np.add.reduceat(small[known[feature]], begin)
-                squares = np.concatenate(([0.0], np.cumsum(np.add.reduceat(weights[feature] ** 2, begin), dtype=np.float64)))
+                own_feature = known[feature]
+                sums = np.add.reduceat(small[own_feature], begin)
                 running = np.vstack([np.zeros((1, sums.shape[1])), np.cumsum(sums, axis=0, dtype=np.float64)])
                 for size in sorted(set(scale.tolist())):
                     own = np.flatnonzero(scale == size)
-                    wide, stride = size // SEGMENT, size // SEGMENT // 2
+                    wide, stride = size // segment, size // segment // 2
                     inside = np.arange(len(text)) - first[text]
                     left = np.flatnonzero((inside % stride == 0) & ((inside == 0) | (inside + stride < per[text])))
                     right = np.minimum(left + wide, (first + per)[text[left]])
                     window = (running[right] - running[left]).astype(np.float32)
-                    inner = window @ query[own].T
-                    near = inner / np.maximum(np.linalg.norm(window, axis=1, keepdims=True), 1e-9)
-                    whole = np.sqrt(np.maximum(squares[right] - squares[left], 1e-9)).astype(np.float32)
-                    for w, j in zip(*np.nonzero((near >= COSINE) & (inner >= FULL_COSINE * share[own] * whole[:, None]))):
-                        k, t = owner[own[j]], text[left[w]]
-                        n = len(items[k])
-                        a = max(at[t], begin[left[w]] - n)
-                        b = min(at[t + 1], begin[left[w]] + size + n)
-                        key = (docs_of[t], ids[k], n)
-                        region = hashes[a:b]
-                        both = common_subsequence(items[k], _tight(items[k], region))
-                        if both < LOWER_SHARE * n:
+                    length = np.linalg.norm(window, axis=1)
+                    spoken = np.flatnonzero(length > 0)
+                    window = window[spoken] / length[spoken, None]
+                    near = query[own] @ window.T
+                    for j in range(len(own)):
+                        hits = np.flatnonzero(near[j] >= COSINE)
+                        if not len(hits):
                             continue
-                        said = len(answers[k]) > 0 and common_subsequence(answers[k], region) == len(answers[k])
-                        if both >= SHARE * n or said:
-                            mine = (both, bool(said), float(near[w, j]))
-                            out[key] = max(out.get(key, mine), mine)
+                        k, w = owner[own[j]], left[spoken[hits]]
+                        n = len(items[k])
+                        lows = np.maximum(at[text[w]], begin[w] - n)
+                        highs = np.minimum(at[text[w] + 1], begin[w] + size + n)
+                        for i in np.flatnonzero(_enough(own_feature, used[k], len(small), n, lows, highs)):
+                            region = hashes[lows[i]:highs[i]]
+                            both = _closest(items[k], region)
+                            if both < LOWER_SHARE * n:
+                                continue
+                            key = (docs_of[text[w[i]]], ids[k], n)
+                            said = len(answers[k]) > 0 and common_subsequence(answers[k], region) == len(answers[k])
+                            if both >= SHARE * n or said:
+                                mine = (both, bool(said), float(near[j, hits[i]]))
+                                out[key] = max(out.get(key, mine), mine)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in out], pa.int64()), pa.array([k[1] for k in out], pa.int64()), pa.array([v[2] for v in out.values()], pa.float64()),
                  pa.array([v[0] for v in out.values()], pa.int32()), pa.array([k[2] for k in out], pa.int32()), pa.array([v[1] for v in out.values()], pa.bool_())],
@@ -240,14 +247,39 @@ def _block_matches(spark, docs: DataFrame, block: list[tuple[int, str]], weights
     return docs.mapInArrow(search, MATCH)
 
 
-def _tight(item: np.ndarray, region: np.ndarray) -> np.ndarray:
-    """The run of 1.25 times the item's words within the region that shares most words with the item."""
-    size = max(len(item) + 2, len(item) * 5 // 4)
+def _run(n: int) -> int:
+    """How many words are compared with an item of n words."""
+    return max(n + 2, n * 5 // 4)
+
+
+def _enough(spoken: np.ndarray, used: np.ndarray, n_features: int, n: int, lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
+    """Whether a run within each region holds so many of the item's words that the common subsequence can be long enough."""
+    mine = np.zeros(n_features, np.int32)
+    mine[used] = 1
+    shared = np.zeros(len(spoken) + 1, np.int32)
+    np.cumsum(mine[spoken], out=shared[1:])
+    size = _run(n)
+    runs = np.flatnonzero(shared[size:] - shared[:-size] >= LOWER_SHARE * n)
+    within = np.searchsorted(runs, lows) < np.searchsorted(runs, highs - size, side="right")
+    return np.where(highs - lows > size, within, shared[highs] - shared[lows] >= LOWER_SHARE * n)
+
+
+def _closest(item: np.ndarray, region: np.ndarray) -> int:
+    """The longest common subsequence with a run of the region, once it reaches ``SHARE``, or else with the best run.
+
+    The run that shares most words goes first. Moved by one word, a run gains at most one, so poor runs are leapt over.
+    """
+    n, size = len(item), _run(len(item))
     if len(region) <= size:
-        return region
+        return common_subsequence(item, region)
     shared = np.concatenate(([0], np.cumsum(np.isin(region, item))))
     start = int((shared[size:] - shared[:-size]).argmax())
-    return region[start:start + size]
+    best, start = common_subsequence(item, region[start:start + size]), 0
+    while best < SHARE * n and start + size <= len(region):
+        both = common_subsequence(item, region[start:start + size])
+        best = max(best, both)
+        start += max(1, math.ceil(max(best + 1, LOWER_SHARE * n) - both))
+    return best
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -205,6 +205,29 @@ def test_decontamination_finds_items_and_paraphrases(spark):
     assert decontamination.matches(docs, items.limit(0)).count() == 0 and decontamination.matches(docs.limit(0), items).count() == 0
 
 
+@pytest.mark.parametrize("size", [4, 6, 10])
+def test_decontamination_finds_short_items_whatever_stands_beside_them(spark, size):
+    rng = random.Random(size)
+    prose = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    full = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").orderBy("item_id").collect()
+    items = [(r.item_id, " ".join(r.text.split()[:size])) for r in full]
+    unique = iter(range(10**6))
+
+    def rare(k):
+        return " ".join(f"q{next(unique)}x" for _ in range(k))
+
+    rows = [(9000 + i, f"{rare(rng.randint(20, 40))} {t} {rare(rng.randint(20, 40))}") for i, t in items]
+    docs = prose.unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {(r.doc_id, r.item_id) for r in decontamination.matches(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {(9000 + i, i) for i, _ in items} <= got
+
+
+def test_closest_run_of_a_region():
+    item = np.arange(4)
+    region = np.array([9] * 4 + [3, 2, 1, 0, 3, 2] + [9] * 5 + [0, 1, 2, 3] + [9] * 5)  # more of the item's words stand elsewhere, in disorder
+    assert decontamination._closest(item, region) >= decontamination.SHARE * len(item)
+
+
 def test_main_text(spark):
     html = ("<html><head><title>t</title><style>p{}</style></head><body><nav><ul><li><a href='/a'>Home</a></li><li><a href='/b'>News</a></li></ul></nav>"
             "<div class='cookie-banner'>We use cookies.</div><article><h1>Big &amp; small</h1><p>First   paragraph of the\n story goes on.</p><p>Second one follows here.</p></article>"
