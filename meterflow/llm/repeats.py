@@ -4,8 +4,10 @@ Every string of ``LENGTH`` bytes (a window) is filed under the least hash of its
 windows meet under one key wherever they stand. Neighbouring windows of one key form a stretch. Stretches whose
 bytes occur twice are repeated as a whole; of these and of all others under a key with different stretches one
 copy goes on. Under a key with over ``CROWD`` different stretches, such as the contexts of a frequent line, they are
-cut again by ``SEEDS`` more hashes, which parts them. What differs under one key is put through suffix sorting by
-linear grouping, where windows that also start elsewhere are neighbours. A stretch that holds its least gram twice may repeat itself and is always sorted.
+cut again by ``SEEDS`` more hashes, which parts most of them. What differs under one key is put through suffix sorting
+by linear grouping, where windows that also start elsewhere are neighbours. A stretch that holds its least gram twice
+may repeat itself and is always sorted. Keys with over ``SORTED_AT_ONCE`` bytes that differ, such as the contexts of a
+line just below a window's length, are not sorted in one task: their windows are counted by key and hash of all bytes.
 
 Matches never cross documents, overlaps count, and strings are judged on the input. Null text is empty; texts
 shorter than a window keep all bytes; repeated rows repeat each other and get one result each; rows without id
@@ -22,7 +24,8 @@ from pyspark.sql import functions as F
 
 from meterflow.llm.shingles import mixed, running_hash, span_hash
 from meterflow.llm.suffixes import repeated_windows
-from meterflow.llm.tables import joined, raw_texts, slices, written
+from meterflow.llm.tables import joined, ragged, raw_texts, slices, written
+from meterflow.session import broadcast_if_small
 
 LENGTH = 200
 GRAM = 32
@@ -158,6 +161,33 @@ def sorted_repeats(some: DataFrame, length: int) -> DataFrame:
     return some.repartition("own_key").sortWithinPartitions("own_key", "own_body").mapInArrow(run, "own_key long, own_body long, first long, last long")
 
 
+def counted_repeats(some: DataFrame, length: int) -> DataFrame:
+    """The same as sorted_repeats for keys of any size: windows are counted in Spark by key and hash of all bytes."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "bytes", SORTED_AT_ONCE):
+            data, running, starts, ends = _joined(raw_texts(batch, "bytes"))
+            n = ends - starts - length + 1
+            at, home = ragged(starts, n), np.repeat(np.arange(len(n)), n)
+            own = [batch.column(c).take(pa.array(home)) for c in ("own_key", "own_body")]
+            yield pa.RecordBatch.from_arrays(
+                [*own, pa.array(at - starts[home]), pa.array(span_hash(running, at, at + length).view(np.int64))], ["own_key", "own_body", "place", "window"])
+
+    def merge(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for key, body, places in zip(*(batch.column(c).to_pylist() for c in ("own_key", "own_body", "places"))):
+                at = np.sort(np.array(places))
+                edge = np.flatnonzero(np.diff(at, prepend=-2, append=at[-1] + 2) > 1)
+                out += [(key, body, int(at[a]), int(at[b - 1]) + 1) for a, b in zip(edge[:-1], edge[1:])]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in range(4)], ["own_key", "own_body", "first", "last"])
+
+    windows = some.mapInArrow(run, "own_key long, own_body long, place long, window long")
+    often = windows.groupBy("own_key", "window").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("own_key", "window")
+    return joined(windows, often, ["own_key", "window"]).groupBy("own_key", "own_body").agg(F.collect_list("place").alias("places")).mapInArrow(
+        merge, "own_key long, own_body long, first long, last long")
+
+
 def removed(spans: DataFrame) -> DataFrame:
     """doc_key, n_removed, n_spans, kept and its digest, from texts and their (first, last) byte ranges."""
 
@@ -205,10 +235,14 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame
     cuts = written(pieces(joined(texts, wanted, "doc_key").select("text", "own"), length), "pieces")
     times = written(cuts.groupBy("own_key", "own_body").agg(
         F.count(F.lit(1)).alias("times"), F.max("again").alias("again"), F.min("n").alias("n"), F.first("bytes").alias("bytes")), "distinct-pieces")
-    apart = times.groupBy("own_key").agg(F.count(F.lit(1)).alias("k"), F.max("again").alias("a")).filter("k > 1 OR a").select("own_key")
+    apart = written(times.groupBy("own_key").agg(
+        F.count(F.lit(1)).alias("k"), F.max("again").alias("a"), F.sum(F.octet_length("bytes")).alias("size")).filter("k > 1 OR a").select(
+        "own_key", (F.col("size") > SORTED_AT_ONCE).alias("large")), "apart")
+    crowds = broadcast_if_small(apart.filter("large").select("own_key"))
     whole = times.filter("times > 1").select("own_key", "own_body", F.lit(0).cast("long").alias("first"), F.col("n").alias("last"))
-    part = sorted_repeats(joined(times, apart, "own_key").select("own_key", "own_body", "bytes"), length)
-    flagged = written(whole.unionByName(part), "flagged")
+    part = sorted_repeats(joined(times, apart.filter("NOT large"), "own_key").select("own_key", "own_body", "bytes"), length)
+    large = counted_repeats(times.join(crowds, "own_key").select("own_key", "own_body", "bytes"), length)
+    flagged = written(whole.unionByName(part).unionByName(large), "flagged")
     inside = joined(cuts.select("key", "body", "offset", "own_key", "own_body"), flagged, ["own_key", "own_body"]).select(
         "key", "body", (F.col("offset") + F.col("first")).alias("first"), (F.col("offset") + F.col("last")).alias("last"))
     full = bodies.filter("c > 1").select("key", "body", F.lit(0).cast("long").alias("first"), F.col("n").alias("last"))

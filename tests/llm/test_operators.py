@@ -137,6 +137,37 @@ def test_suffix_array_and_repeats(spark):
     assert repeats.without_repeats(df.limit(0), length).count() == 0
 
 
+def test_contexts_of_a_line_just_below_the_length_do_not_meet_in_one_sort(spark, monkeypatch):
+    rng = random.Random(8)
+    line = "".join(rng.choice("abcdefghij ") for _ in range(190))
+    beside = ["".join(rng.choice("klmnopqrst") for _ in range(60)) for _ in range(4000)]
+    beside[1::40] = [x[:-6] + y[-6:] for x, y in zip(beside[1::40], beside[::40])]  # six bytes before and four after
+    after = ["".join(rng.choice("klmnopqrst") for _ in range(60)) for _ in beside]
+    after[1::40] = [y[:4] + x[4:] for x, y in zip(after[1::40], after[::40])]
+    texts = [a + line + b for a, b in zip(beside, after)]
+    times = {}
+    for t in texts:
+        for i in range(len(t) - 199):
+            times[t[i:i + 200]] = times.get(t[i:i + 200], 0) + 1
+    want = {}
+    for d, t in enumerate(texts):
+        gone = set()
+        for i in range(len(t) - 199):
+            if times[t[i:i + 200]] > 1:
+                gone.update(range(i, i + 200))
+        want[d] = len(gone)
+    sorted_repeats, seen = repeats.sorted_repeats, []
+
+    def watched(some, length):
+        seen.append(some.groupBy("own_key").agg(F.sum(F.octet_length("bytes")).alias("n")).agg(F.max("n")).first()[0] or 0)
+        return sorted_repeats(some, length)
+
+    monkeypatch.setattr(repeats, "sorted_repeats", watched)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in repeats.without_repeats(df).collect()} == want and sum(map(bool, want.values())) >= 200
+    assert seen and max(seen) <= repeats.SORTED_AT_ONCE
+
+
 def test_mixing_comes_near_its_targets(spark):
     df = documents(spark, 3, 400)
     rows = mixing.planned(df).collect()
