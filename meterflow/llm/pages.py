@@ -6,7 +6,7 @@ the words and a few plain numbers, and so sees the whole page before it decides.
 backpropagation through time, on ``TRAINING_PAGES`` pages of a fixed layout grammar: articles in many usual
 mark-ups, amid menus, headers, footers, sidebars, notices, adverts, forms and reader comments.
 
-Scripts, styles and comments hold no text; character references are decoded; white space inside a block, line
+Scripts, styles and comments hold no text, and what lacks its end does not take the rest of the page with it; character references are decoded; white space inside a block, line
 breaks among it, becomes one space; blocks follow in page order, joined by two line feeds. Null, empty and
 textless pages give an empty text; repeated rows are labelled alike; other columns are ignored.
 """
@@ -31,23 +31,31 @@ EPOCHS = 10
 SEED = 17
 EXTRACTED = "page_id long, url string, text string, n_chars long"
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_MARKUP = re.compile(r"<!---?>|<!--|<!\[CDATA\[|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _TOKEN = re.compile(r"[a-z]+")
-#: Fixed values of HTML: elements without end tag, without text, within a line, and paragraphs' implied ends.
+#: Fixed values of HTML: elements without end tag, without text, without tags inside, within a line, and paragraphs' implied ends.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style template noscript svg math iframe object canvas head".split())
+SILENT = frozenset("script style title template noscript svg math iframe object canvas".split())
+RAW = frozenset("script style title textarea iframe".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
                    "strong sub sup time tt u var wbr".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
 
+@lru_cache(64)
+def _end_tag(name: str) -> re.Pattern:
+    return re.compile(rf"</{name}(?![\w:-])", re.I | re.A)
+
+
 def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, bool]]:
     """(path tokens, text, whether links hold most of it) of every leaf block with text."""
     blocks: list[tuple[tuple[str, ...], str, bool]] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     silent: str | None = None
+    foreign = False
+    endless: set[str] = set()  # what has no end from here on
     linked = length = links = 0
 
     def flush() -> None:
@@ -67,17 +75,42 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, bool]]:
             length += n
             links += n if linked else 0
 
+    def end_of(name: str, start: int) -> re.Match | None:
+        if name in endless:
+            return None
+        if not (found := _end_tag(name).search(page, start)):
+            endless.add(name)
+        return found
+
     at = 0
-    for m in _MARKUP.finditer(page):
+    while m := _MARKUP.search(page, at):
         take(page[at:m.start()])
         at = m.end()
         if not m[2]:
+            if end := {"<!--": "-->", "<![CDATA[": "]]>"}.get(m[0]):
+                found = -1 if end in endless else page.find(end, at)
+                if found < 0:  # without its end, it ends like a tag
+                    endless.add(end)
+                    end, found = ">", page.find(">", at)
+                at = found + len(end) if found >= 0 else at
             continue
         name = m[2].lower()
+        opens = not m[1] and not m[3].rstrip().endswith("/")
+        if opens and name in RAW and (found := end_of(name, at)):
+            if silent is None:
+                flush()
+                if name not in SILENT:
+                    take(page[at:found.start()])
+            at = found.start()
+            continue
         if silent is not None:
+            foreign = (foreign or opens) and not m[1] if name in ("foreignobject", "annotation-xml") else foreign
             if m[1] and name == silent:
                 silent = None
-            continue
+                continue
+            if m[1] or silent not in ("svg", "math") or foreign or name not in CLOSES_P:
+                continue
+            silent = None  # page elements end a drawing or formula
         if m[1]:
             if name == "a":
                 linked = max(0, linked - 1)
@@ -90,8 +123,8 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, bool]]:
             continue
         if name in SILENT:
             flush()
-            if not m[3].rstrip().endswith("/"):
-                silent = name
+            if opens and name not in RAW and end_of(name, at):
+                silent, foreign = name, False
             continue
         if name == "br":
             take(" ")
@@ -102,7 +135,7 @@ def leaf_blocks(page: str) -> list[tuple[tuple[str, ...], str, bool]]:
                     pass
             if name == "li" and stack and stack[-1][0] == "li":
                 stack.pop()
-        if name in VOID or m[3].rstrip().endswith("/"):
+        if name in VOID or name == "head" or not opens:
             continue
         if name in INLINE:
             linked += name == "a"

@@ -269,6 +269,15 @@ def test_main_text(spark):
     assert [got[i].text for i in (2, 3, None)] == ["", "", ""] and pages.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("page", [
+    "<html><head><title>x</title><meta charset=u><body>{}</body></html>", "<head><title>x</title>{}",
+    "<script>var a='<!--';</script>{}", "<script>s=\"<p class='x\";</script>{}", "<style>a:after{{content:'<!--'}}</STYLE >{}",
+    "<!-- no end >{}", "<!-->{}<!-- x -->", "<![CDATA[ no end >{}", "<iframe src=a>{}", "<svg><path d='M0'>{}", "<svg><path>{}<svg></svg>", "<noscript>{}",
+    "<svg><foreignObject><p>z</p></foreignObject></svg>{}", "<head></head><noscript><p>z</p></noscript>{}", "<title>a <b> c</title>{}"])
+def test_leaf_blocks_keep_the_page_after_odd_markup(page):
+    assert [text for _, text, _ in pages.leaf_blocks(page.format("<p>It's a long text.</p><p>It's more.</p>"))] == ["It's a long text.", "It's more."]
+
+
 def test_licence_scan(spark):
     lines = ["some text\nLicensed under the Apache License, Version 2.0.", "Released under the MIT License.\nmore", "Licensed under CC BY-NC 4.0.",
              "A driver needs a valid licence to rent a car.", None, ""]
