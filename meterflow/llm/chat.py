@@ -9,6 +9,9 @@ text, one entry per assistant turn.
 
 Null or absent texts and roles are empty; an empty message list formats to an empty text; repeated rows and
 ties of turn are ordered by role and text; columns other than the four named ones are ignored.
+
+The engine reads no JSON text of some 20 million characters or more. Conversations that may come near keep their
+turns out of JSON; a given record that long which does not parse is an error, not an unknown layout.
 """
 
 import hashlib
@@ -18,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
+#: Bytes of JSON up to which a conversation is a JSON record, and from which a record that does not parse is an error.
+LARGE = 12_000_000
 TURNS = "array<struct<role string, text string>>"
 
 
@@ -92,8 +97,9 @@ def fingerprint(record: Column) -> Column:
 
 def canonical(records: DataFrame, column: str = "record") -> DataFrame:
     """Adds layout and turns to rows with a JSON text; other columns stay."""
+    too_long = F.when(F.octet_length(column) > LARGE, F.raise_error(F.lit("a record is too long to be read as JSON, or is no JSON")).cast("variant"))
     known = F.create_map(*[F.lit(x) for name, paths, _ in MAPPINGS for x in (fingerprint_of(paths), name)])
-    parsed = records.select(F.struct("*").alias("row"), F.try_parse_json(column).alias("v"))
+    parsed = records.select(F.struct("*").alias("row"), F.coalesce(F.try_parse_json(column), too_long).alias("v"))
     named = parsed.withColumn("layout", F.coalesce(F.element_at(known, fingerprint(F.col("v"))), F.lit("unknown")))
     turns = reduce(lambda when, m: when.when(F.col("layout") == m[0], F.expr(m[2])), MAPPINGS[1:],
                    F.when(F.col("layout") == MAPPINGS[0][0], F.expr(MAPPINGS[0][2])))
@@ -153,13 +159,21 @@ def loss_text(formatted_text: Column, mask: Column) -> Column:
 
 
 def records(conversations: DataFrame) -> DataFrame:
-    """conv_id and a JSON record of the messages in order of turn, one row per conversation."""
+    """conv_id and a JSON record of the messages in order of turn, one row per conversation; large has those beyond JSON."""
     message = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content"))
-    grouped = conversations.select("conv_id", message.alias("m")).groupBy("conv_id").agg(F.array_sort(F.collect_list("m")).alias("m"))
+    # a byte takes at most six in JSON
+    size = F.sum(6 * (F.octet_length("m.role").cast("long") + F.octet_length("m.content")) + 64)
+    grouped = conversations.select("conv_id", message.alias("m")).groupBy("conv_id").agg(
+        F.array_sort(F.collect_list("m")).alias("m"), size.alias("size"))
     plain = F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content")))
-    return grouped.select("conv_id", F.to_json(F.struct(plain.alias("messages"))).alias("record"))
+    turns = F.transform("m", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("text")))
+    return grouped.select("conv_id", F.when(F.col("size") < LARGE, F.to_json(F.struct(plain.alias("messages")))).alias("record"),
+                          F.when(F.col("size") >= LARGE, turns).alias("large"))
 
 
 def format_conversations(conversations: DataFrame) -> DataFrame:
     """conv_id, layout, turns, formatted, loss_mask."""
-    return formatted(canonical(records(conversations))).drop("record")
+    read = canonical(records(conversations))
+    whole = read.select("conv_id", F.when(F.col("large").isNull(), F.col("layout")).otherwise("messages").alias("layout"),
+                        F.coalesce("large", "turns").alias("turns"))
+    return formatted(whole)

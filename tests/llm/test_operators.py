@@ -213,6 +213,18 @@ def test_chat_round_trip_and_layouts(spark):
         [("user", "p"), ("assistant", "c")], [("user", "i"), ("assistant", "o")], [("user", "q"), ("assistant", "a")]]
 
 
+def test_chat_keeps_turns_beyond_the_limits_of_json(spark):
+    df = spark.range(3).select(F.lit(1).cast("long").alias("conv_id"), F.col("id").alias("turn")).select(
+        "conv_id", "turn", F.when(F.col("turn") == 1, "assistant").otherwise("user").alias("role"),
+        F.when(F.col("turn") == 1, F.expr("repeat('a', 21000000)")).otherwise("q").alias("text"))
+    row = chat.format_conversations(df).select("layout", F.transform("turns", lambda t: F.struct(t["role"], F.length(t["text"]))).alias("t"),
+                                               F.length("formatted").alias("n"), "loss_mask").first()
+    assert row.layout == "messages" and [tuple(x) for x in row.t] == [("user", 1), ("assistant", 21_000_000), ("user", 1)]
+    assert row.n > 21_000_000 and [m.length for m in row.loss_mask] == [21_000_000]
+    with pytest.raises(Exception, match="too long"):
+        chat.canonical(spark.range(1).select(F.expr("concat('{\"prompt\":\"', repeat('a', 21000000), '\",\"completion\":\"c\"}')").alias("record"))).select(F.size("turns")).collect()
+
+
 def test_language_id(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
     extra = spark.createDataFrame([(9001, None, "en"), (9002, "", "en"), (9003, "12 !", None), (None, "the of and that", "en")], "doc_id long, text string, lang string")
