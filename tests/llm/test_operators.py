@@ -297,3 +297,10 @@ def test_licence_scan(spark):
     extra = spark.createDataFrame([(9000 + i, t) for i, t in enumerate(lines)], "doc_id long, text string")
     got = {(r.doc_id, r.paragraph): r.family for r in licenses.scan(docs.unionByName(extra)).collect() if r.doc_id >= 9000}
     assert {k: v for k, v in got.items() if v != licenses.UNKNOWN} == {(9000, 1): "apache-2.0", (9001, 0): "mit", (9002, 0): "cc-by-nc"}
+
+
+def test_licence_triggers_between_underscores(spark):
+    lines = ["MIT_LICENSE", "_MIT_", "see _the_mit_license_", "permit", "mits"]
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    pattern = licenses.trigger_pattern(["mit", "mit license"])
+    assert [r[0] for r in df.select(F.lower("line").rlike(pattern)).collect()] == [True, True, True, False, False]
