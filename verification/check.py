@@ -15,7 +15,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 def as_rows(frame: pd.DataFrame) -> list[tuple]:
     def plain(value):
-        if value is None or value is pd.NaT or isinstance(value, float) and value != value:
+        if value is None or value is pd.NaT or value is pd.NA or isinstance(value, float) and value != value:
             return "null"
         if isinstance(value, bool) or type(value).__name__ == "bool":
             return str(bool(value))
