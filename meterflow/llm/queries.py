@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import chat, decontamination, languages, licenses, mixing, near_duplicates, pages, repeats, token_files, vectors
+from meterflow.llm import chat, decontamination, languages, licenses, mixing, near_duplicates, negatives, pages, repeats, resampling, token_files, vectors
 from meterflow.llm.tables import read, tuned
 from meterflow.session import prepare
 
@@ -109,3 +109,77 @@ def op8_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices in all documents."""
     return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighed and drawn towards the benchmark's texts."""
+    return resampling.resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_importance_resampling"] = r"""
+WITH bytes AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)), lambda c, i:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
+), texts AS (
+    SELECT 'd' AS kind, row_number() OVER () AS row, doc_id, text FROM documents
+    UNION ALL SELECT 'b', row_number() OVER (), NULL, text FROM benchmark
+), said AS (
+    SELECT kind, row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM texts
+), runs AS (
+    SELECT kind, row, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]))) AS run FROM said
+), counted AS (
+    SELECT kind, row, run, count(*) AS n FROM runs GROUP BY ALL
+), filed AS (
+    SELECT run, xor(list_reduce(list_concat([4294967295], list_transform(range(0, 2 * octet_length(encode(run)), 2),
+               lambda i: ('0x' || substr(hex(encode(run)), i + 1, 2))::BIGINT)), lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+    FROM (SELECT DISTINCT run FROM counted), bytes
+), sums AS (
+    SELECT bucket, coalesce(sum(n) FILTER (kind = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (kind = 'b'), 0)::DOUBLE AS t
+    FROM counted JOIN filed USING (run) GROUP BY bucket
+), gains AS (
+    SELECT bucket, floor(1000 * ln((t + 1) * (sum(s) OVER () + 10000) / ((s + 1) * (sum(t) OVER () + 10000))))::BIGINT AS gain FROM sums
+), weighed AS (
+    SELECT row, sum(n * gain)::BIGINT AS total FROM counted JOIN filed USING (run) JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY row
+), scored AS (
+    SELECT doc_id, len(words) AS n_words, len(words) + greatest(len(words) - 1, 0) AS n_features,
+           coalesce(floor(total / (2 * len(words) - 1)), 0)::BIGINT AS weight,
+           ('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT AS h
+    FROM said LEFT JOIN weighed USING (row) WHERE kind = 'd'
+), drawn AS (
+    SELECT doc_id, n_features::BIGINT AS n_features, n_words, weight, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::BIGINT AS score FROM scored
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_words >= 20) AS fit FROM drawn
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * fit // 100 THEN place END AS rank FROM ranked
+"""
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector among all of them; every seventh vector has the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), "embedding")
+    return negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
+ORACLES["op13_hard_negatives"] = r"""
+WITH numbers AS (
+    SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+    FROM numbers a JOIN numbers b ON a.id <> b.id AND len(a.q) = len(b.q) WHERE a.id % 100 = 0
+), positives AS (
+    SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id)::INTEGER AS rank,
+       n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+QUALIFY rank <= 10
+"""
