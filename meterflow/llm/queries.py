@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import chat, decontamination, languages, licenses, mixing, near_duplicates, negatives, pages, repeats, resampling, token_files, vectors
+from meterflow.llm import chat, decontamination, fingerprints, languages, licenses, mixing, near_duplicates, negatives, pages, repeats, resampling, token_files, vectors
 from meterflow.llm.tables import read, tuned
 from meterflow.session import prepare
 
@@ -183,3 +183,61 @@ SELECT p.anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.ancho
 FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
 QUALIFY rank <= 10
 """
+
+
+@query
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and how alike they are."""
+    return fingerprints.compared(read(spark, sf_dir, "documents"))
+
+
+def _fingerprint_sql() -> str:
+    hashes = ", ".join(f"{x}{i}" for i in range(6) for x in "abc")
+    rows = ", ".join(f"({k}, {', '.join(str(n) for triple in own for n in triple)})" for k, own in enumerate(fingerprints.factors()))
+    drawn = [f"((high * a{i} + low * b{i} + c{i}) % {fingerprints.PRIME})" for i in range(6)]
+    u = [f"(({d} + 0.5::DOUBLE) / {fingerprints.PRIME}::DOUBLE)" for d in drawn]
+    bits, values = 1 << fingerprints.SAMPLE_BITS, 1 << fingerprints.VALUE_BITS
+    return rf"""
+WITH factors(k, {hashes}) AS (VALUES {rows}),
+whole AS (
+    SELECT doc_id, coalesce(text, '') AS text, coalesce(lead(text) OVER later, first_value(text) OVER later, '') AS following
+    FROM documents WINDOW later AS (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+), edited AS (
+    SELECT doc_id, length(text) AS n_chars, text,
+           substr(text, 1, length(text) - length(text) // 3) || substr(following, 1, length(text) // 3) AS edited
+    FROM whole
+), terms AS (
+    SELECT doc_id, kind, ('0x' || substr(md5(term), 1, 15))::BIGINT AS hashed
+    FROM (SELECT doc_id, 0 AS kind, unnest(regexp_extract_all(text, '{fingerprints.TERM}')) AS term FROM edited
+          UNION ALL SELECT doc_id, 1, unnest(regexp_extract_all(edited, '{fingerprints.TERM}')) FROM edited)
+), weights AS (
+    SELECT doc_id, kind, hashed >> 30 AS high, hashed & {(1 << 30) - 1} AS low, ln(count(*)) AS ln_weight FROM terms GROUP BY doc_id, kind, hashed
+), variates AS (
+    SELECT doc_id, kind, k, a5, {drawn[5]} AS place, ln_weight, -ln({u[0]} * {u[1]}) AS step, -ln({u[2]} * {u[3]}) AS c, {u[4]} AS shift
+    FROM weights, factors
+), valued AS (
+    SELECT *, floor(ln_weight / step + shift) AS t FROM variates
+), samples AS (
+    SELECT doc_id, kind, k, min(floor((ln(c) - step * (t - shift) - step + {fingerprints.ABOVE}) * {values})::BIGINT * {bits}
+                                + (place + (t::BIGINT % {1 << 30}) * a5) % {fingerprints.PRIME} % {bits}) % {bits} AS s
+    FROM valued GROUP BY doc_id, kind, k
+), prints AS (
+    SELECT doc_id, kind, string_agg(right('0000' || lower(hex(s)), 4), '' ORDER BY k) AS print, list(s ORDER BY k) AS list FROM samples GROUP BY doc_id, kind
+), beside AS (
+    SELECT e.doc_id, n_chars, edited, coalesce(p.print, '') AS fingerprint, coalesce(q.print, '') AS edited_fingerprint,
+           coalesce(p.list, []) AS own, coalesce(q.list, []) AS other
+    FROM edited e LEFT JOIN prints p ON p.doc_id = e.doc_id AND p.kind = 0 LEFT JOIN prints q ON q.doc_id = e.doc_id AND q.kind = 1
+), ordered AS (
+    SELECT *, coalesce(lead(own) OVER later, first_value(own) OVER later) AS following
+    FROM beside WINDOW later AS (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
+)
+SELECT doc_id, n_chars::BIGINT AS n_chars, sha256(edited) AS edited_sha256, fingerprint, edited_fingerprint,
+       CASE WHEN own = [] OR other = [] THEN (own = other)::INT::DOUBLE
+            ELSE len(list_filter(list_zip(own, other), lambda x: x[1] = x[2])) / len(own)::DOUBLE END AS near_edited,
+       CASE WHEN own = [] OR following = [] THEN (own = following)::INT::DOUBLE
+            ELSE len(list_filter(list_zip(own, following), lambda x: x[1] = x[2])) / len(own)::DOUBLE END AS near_next
+FROM ordered
+"""
+
+
+ORACLES["op12_document_fingerprints"] = _fingerprint_sql()
