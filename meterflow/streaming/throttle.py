@@ -3,6 +3,7 @@
 from collections import deque
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -28,15 +29,22 @@ class _SlidingLimit(StatefulProcessor):
         self._recent = handle.getListState("recent", "t bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows)).sort_values([_MICROS, self._id])
+        # only times and ids are put in order; the rows stay in the frames that they came in
+        frames = list(rows)
+        keys = pd.concat([frame[[_MICROS, self._id]] for frame in frames], ignore_index=True).sort_values([_MICROS, self._id])
         recent = deque(row[0] for row in self._recent.get())
-        batch["admitted"] = admit_in_order(batch[_MICROS].to_numpy(), recent, self._limit, self._window)
+        marks = np.zeros(len(keys), dtype=bool)
+        marks[keys.index] = admit_in_order(keys[_MICROS].to_numpy(), recent, self._limit, self._window)
         self._recent.put([(t,) for t in recent])
         for timer in list(self._handle.listTimers()):
             self._handle.deleteTimer(timer)
         if recent:
             self._handle.registerTimer((recent[-1] + self._window) // 1000 + 1)
-        yield batch[[*self._columns, "admitted"]]
+        start = 0
+        while frames:
+            frame = frames.pop(0)
+            yield frame[self._columns].assign(admitted=marks[start:start + len(frame)])
+            start += len(frame)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self._recent.clear()

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import numpy as np
 import pytest
 
+from meterflow.operators import throttle
 from meterflow.operators.throttle import admit_in_order, throttle_marks
 
 START = datetime(2026, 1, 1)
@@ -42,6 +43,30 @@ def test_marks_equal_a_literal_walk(spark, limit, window, span, slices):
     assert got == literal(rows, limit, window)
 
 
+@pytest.mark.parametrize("gap", [0.4, 0.5, None])
+def test_a_client_that_never_pauses_is_walked_slice_by_slice(spark, monkeypatch, gap):
+    """Periodic traffic never forgets where its windows began; uneven traffic does. No walk but the last takes it whole."""
+    rng = random.Random(8)
+    at, rows = 0.0, []
+    for i in range(1200):
+        at += gap or rng.choice([0.01, 0.2, 0.9])
+        rows.append(("hot", i, START + timedelta(seconds=round(at, 3))))
+    rows += [(f"c{i % 40}", 5000 + i, START + timedelta(seconds=i / 3)) for i in range(400)]
+    walks, plain = [], throttle._walked
+    monkeypatch.setattr(throttle, "_walked", lambda rows, *rest: walks.append(rest[-1]) or plain(rows, *rest))
+    df = spark.createDataFrame(rows, "client string, request_id bigint, ts timestamp").repartition(5)
+    got = {r.request_id: r.admitted for r in throttle_marks(df, "client", "ts", "request_id", 7, 10, 3).collect()}
+    assert got == literal(rows, 7, 10)
+    assert walks == [0, *range(len(walks) - 1)] and 2 <= len(walks) <= 7  # of 15 to 20 slices
+
+
+def test_a_request_without_a_time_has_no_decision(spark):
+    rows = [("a", i, None if i % 3 == 0 else START) for i in range(9)]
+    df = spark.createDataFrame(rows, "client string, request_id bigint, ts timestamp")
+    got = {r.request_id: r.admitted for r in throttle_marks(df, "client", "ts", "request_id", 4, 10, 3).collect()}
+    assert [got[i] for i in range(9)] == [None, True, True, None, True, True, None, False, False]
+
+
 def test_requests_without_a_client_share_one_limit(spark):
     rows = [(None if i % 2 else 7, i, START + timedelta(seconds=i)) for i in range(60)]
     df = spark.createDataFrame(rows, "client bigint, request_id bigint, ts timestamp").repartition(3)

@@ -241,19 +241,21 @@ def current_status(spark, sf_dir):
     return tm.current_status(flagged, "up", ["endpoint"])
 
 
-THROTTLE_SQL = f"""WITH RECURSIVE {REQUESTS},
- numbered AS (SELECT client, request_id, epoch_us(ts) AS t,
-  row_number() OVER (PARTITION BY client ORDER BY ts, request_id) AS rn FROM requests),
+def _throttle_sql(client: str, limit: int, micros: int) -> str:
+    kept = f"list_filter(w.kept, lambda x: x >= n.t - {micros})"
+    return f"""WITH RECURSIVE {REQUESTS},
+ numbered AS (SELECT {client} AS client, request_id, epoch_us(ts) AS t,
+  row_number() OVER (PARTITION BY {client} ORDER BY ts, request_id) AS rn FROM requests),
  walk AS (SELECT client, request_id, rn, [t] AS kept, true AS admitted FROM numbered WHERE rn = 1
   UNION ALL SELECT n.client, n.request_id, n.rn,
-   CASE WHEN len(list_filter(w.kept, lambda x: x >= n.t - 86400000000)) < 2
-    THEN list_append(list_filter(w.kept, lambda x: x >= n.t - 86400000000), n.t)
-    ELSE list_filter(w.kept, lambda x: x >= n.t - 86400000000) END,
-   len(list_filter(w.kept, lambda x: x >= n.t - 86400000000)) < 2
+   CASE WHEN len({kept}) < {limit} THEN list_append({kept}, n.t) ELSE {kept} END, len({kept}) < {limit}
   FROM walk w JOIN numbered n ON n.client = w.client AND n.rn = w.rn + 1)
  SELECT client, request_id, admitted FROM walk"""
 
 
+THROTTLE_SQL = _throttle_sql("client", 2, 86_400_000_000)
+
+
 @query("throttle_marks", THROTTLE_SQL)
 def throttle_marks_query(spark, sf_dir):
     """Requests a limit of two a day per client would admit."""
@@ -272,6 +274,15 @@ def throttle_totals(spark, sf_dir):
                                        F.count_if(~F.col("admitted")).alias("denied"))
 
 
+@query("throttle_marks_hot", _throttle_sql("CASE WHEN request_id % 3 = 0 THEN -1 ELSE client END", 20, 86_400_000_000))
+def throttle_marks_hot(spark, sf_dir):
+    """A limit of twenty a day where one client, always above it, sends a third of all requests."""
+    client = F.when(F.col("request_id") % 3 == 0, F.lit(-1)).otherwise(F.col("client"))
+    requests = fx.requests(spark, sf_dir).select(client.alias("client"), "request_id", "ts")
+    return throttle_marks(requests, "client", "ts", "request_id", limit=20, window_seconds=86_400, slice_windows=2)\
+        .select("client", "request_id", "admitted")
+
+
 SESSIONS_SQL = f"""WITH {REQUESTS}, steps AS (SELECT client, ts, CASE WHEN date_diff('microsecond',
  lag(ts) OVER (PARTITION BY client ORDER BY ts), ts) <= 3600000000 THEN 0 ELSE 1 END AS fresh FROM requests),
  runs AS (SELECT *, sum(fresh) OVER (PARTITION BY client ORDER BY ts) AS run FROM steps)
