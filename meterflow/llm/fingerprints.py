@@ -1,9 +1,9 @@
 """Document fingerprints by consistent weighted sampling, in SQL functions alone.
 
 Terms are runs of characters other than space and 9 to 13, cut after ``LONGEST`` characters; a term weighs as often as
-it occurs. For each of ``SAMPLES`` samples every term has two gamma variates (shape 2) and one uniform shift, all from
-hashes of the term alone. They place the term's weight on a log grid of its own and give it a value whose minimum over
-the terms of a text is the sample: term and grid step. Two texts agree in a sample with a probability equal to their
+it occurs. For each of ``SAMPLES`` samples every term has two gamma variates (shape 2, of 256 equally likely values) and
+one uniform shift, all from one hash of the term. They place the term's weight on a log grid of its own and give it a
+value whose minimum over the terms of a text is the sample: term and grid step. Two texts agree in a sample with a probability equal to their
 generalised Jaccard similarity, the sum of the lesser weights over the sum of the greater ones; a fingerprint holds 16
 bits of every sample, and the likeness of two is the share of samples in which they agree.
 
@@ -17,53 +17,50 @@ which is fully like another empty one and unlike any other. An empty table gives
 ignored. A text is held whole in one row, but never with others of a group.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.llm.tables import joined, written
 from meterflow.operators.ordering import with_row_index
 
-SAMPLES = 64
+SAMPLES = 48
 LONGEST = 12
 TERM = rf"[^\x20\x09-\x0D]{{1,{LONGEST}}}"
-PRIME = (1 << 31) - 1
+#: A hash of 64 bits has, from the top, the places of two gamma variates, the sample's own bits, and the uniform shift.
+GAMMA_BITS, SAMPLE_BITS, SHIFT_BITS = 8, 16, 28
 #: Values keep 32 bits after the point, and are moved to stay above 0.
-VALUE_BITS, SAMPLE_BITS, ABOVE = 32, 16, 100
+VALUE_BITS, ABOVE = 32, 100
 COPIES_AT_ONCE = 10_000
 
 
-def factors(samples: int = SAMPLES) -> list[list[tuple[int, int, int]]]:
-    """Per sample six linear hashes modulo ``PRIME``: of two uniforms for either gamma, the shift, and the sample's bits."""
-    out, state = [], 20_263
-    for _ in range(samples):
-        own = []
-        for _ in range(6):
-            triple = []
-            for _ in range(3):
-                state = state * 48_271 % PRIME
-                triple.append(state)
-            own.append(tuple(triple))
-        out.append(own)
+def gamma_quantiles(bits: int = GAMMA_BITS) -> list[float]:
+    """The middle quantile of each of 2 ** bits equal shares of the gamma distribution of shape 2, by bisection."""
+    out = []
+    for i in range(1 << bits):
+        share, low, high = (i + 0.5) / (1 << bits), 0.0, 60.0
+        for _ in range(60):
+            middle = (low + high) / 2
+            low, high = (middle, high) if 1 - math.exp(-middle) * (1 + middle) < share else (low, middle)
+        out.append((low + high) / 2)
     return out
 
 
-def packed_sample(high: Column, low: Column, ln_weight: Column, own: list[tuple[int, int, int]]) -> Column:
-    """Value and sample of one term: ``high`` and ``low`` are its hash, each below 2 ** 30."""
-
-    def drawn(i: int) -> Column:
-        a, b, c = (F.lit(x).cast("long") for x in own[i])
-        return (high * a + low * b + c) % F.lit(PRIME).cast("long")
+def _numbers(values: list[float]) -> Column:
+    return F.expr(f"array({', '.join(f'{v!r}D' for v in values)})")
 
-    def uniform(i: int) -> Column:
-        return (drawn(i) + F.lit(0.5)) / F.lit(float(PRIME))
 
-    step = -F.log(uniform(0) * uniform(1))
-    c = -F.log(uniform(2) * uniform(3))
-    t = F.floor(ln_weight / step + uniform(4))
-    value = F.log(c) - step * (t - uniform(4)) - step
-    place = (drawn(5) + F.pmod(t, F.lit(1 << 30)) * F.lit(own[5][0]).cast("long")) % F.lit(PRIME).cast("long")
-    kept = F.floor((value + F.lit(float(ABOVE))) * F.lit(float(1 << VALUE_BITS)))
-    return kept * F.lit(1 << SAMPLE_BITS) + place % F.lit(1 << SAMPLE_BITS)
+def packed_sample(k: int) -> Column:
+    """Value and sample of one term in sample ``k``; ``steps`` and ``ln_steps`` are the quantiles and their logarithms."""
+    x = f"xxhash64(hashed + {k << 32}L)"
+    step = f"get(steps, int(shiftrightunsigned({x}, {64 - GAMMA_BITS})))"
+    ln_c = f"get(ln_steps, int(shiftrightunsigned({x}, {64 - 2 * GAMMA_BITS}) & {(1 << GAMMA_BITS) - 1}L))"
+    shift = f"(({x} & {(1 << SHIFT_BITS) - 1}L) * {1 / (1 << SHIFT_BITS)!r}D)"
+    t = f"floor(ln_weight / {step} + {shift})"
+    value = f"floor(({ln_c} - {step} * ({t} + 1D - {shift}) + {float(ABOVE)}D) * {float(1 << VALUE_BITS)!r}D)"
+    own = f"((shiftrightunsigned({x}, {SHIFT_BITS}) + {t}) & {(1 << SAMPLE_BITS) - 1}L)"
+    return F.expr(f"{value} * {1 << SAMPLE_BITS}L + {own}")
 
 
 def fingerprints(texts: DataFrame, keys: list[str], text: str, samples: int = SAMPLES) -> DataFrame:
@@ -71,12 +68,12 @@ def fingerprints(texts: DataFrame, keys: list[str], text: str, samples: int = SA
 
     Where ``texts`` is partitioned by some of the keys already, nothing is shuffled.
     """
-    hashed = F.conv(F.substring(F.md5(F.col("term").cast("binary")), 1, 15), 16, 10).cast("long")
+    quantiles = gamma_quantiles()
     terms = texts.select(*keys, F.explode(F.regexp_extract_all(text, F.lit(TERM), F.lit(0))).alias("term"))
-    counted = terms.select(*keys, hashed.alias("hashed")).groupBy(*keys, "hashed").agg(F.count(F.lit(1)).alias("weight"))
-    parts = counted.select(*keys, F.shiftright("hashed", 30).alias("high"), F.col("hashed").bitwiseAND((1 << 30) - 1).alias("low"),
-                           F.log("weight").alias("ln_weight"))
-    least = [F.min(packed_sample(F.col("high"), F.col("low"), F.col("ln_weight"), own)).alias(f"s{k}") for k, own in enumerate(factors(samples))]
+    counted = terms.select(*keys, F.crc32(F.col("term").cast("binary")).alias("hashed")).groupBy(*keys, "hashed").agg(F.count(F.lit(1)).alias("weight"))
+    parts = counted.select(*keys, "hashed", F.log("weight").alias("ln_weight"), _numbers(quantiles).alias("steps"),
+                           _numbers([math.log(q) for q in quantiles]).alias("ln_steps"))
+    least = [F.min(packed_sample(k)).alias(f"s{k}") for k in range(samples)]
     bits = F.transform(F.array(*[f"s{k}" for k in range(samples)]),
                        lambda s: F.lpad(F.lower(F.hex(s.bitwiseAND((1 << SAMPLE_BITS) - 1))), SAMPLE_BITS // 4, "0"))
     return parts.groupBy(*keys).agg(*least).select(*keys, F.array_join(bits, "").alias("fingerprint"))

@@ -1,5 +1,6 @@
 """The registered queries of this package; each applies an operator with its production parameters to whole tables."""
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,22 @@ from meterflow.llm import chat, decontamination, fingerprints, languages, licens
 from meterflow.llm.tables import read, tuned
 from meterflow.session import prepare
 
+#: CRC-32 in plain SQL: the table of its byte steps, and the sum over the bytes of a text that it is joined with.
+_CRC_TABLE = """bytes AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)), lambda c, i:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
+)"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def _crc_sql(text: str) -> str:
+    byte = f"('0x' || substr(hex(encode({text})), i + 1, 2))::BIGINT"
+    return (f"xor(list_reduce(list_concat([4294967295], list_transform(range(0, 2 * octet_length(encode({text})), 2), lambda i: {byte})), "
+            "lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295)")
+
+
 def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return build(tuned(prepare(spark)), sf_dir)
@@ -117,11 +130,8 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resampled(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
-ORACLES["op11_importance_resampling"] = r"""
-WITH bytes AS (
-    SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)), lambda c, i:
-        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
-), texts AS (
+ORACLES["op11_importance_resampling"] = rf"""
+WITH {_CRC_TABLE}, texts AS (
     SELECT 'd' AS kind, row_number() OVER () AS row, doc_id, text FROM documents
     UNION ALL SELECT 'b', row_number() OVER (), NULL, text FROM benchmark
 ), said AS (
@@ -133,8 +143,7 @@ WITH bytes AS (
 ), counted AS (
     SELECT kind, row, run, count(*) AS n FROM runs GROUP BY ALL
 ), filed AS (
-    SELECT run, xor(list_reduce(list_concat([4294967295], list_transform(range(0, 2 * octet_length(encode(run)), 2),
-               lambda i: ('0x' || substr(hex(encode(run)), i + 1, 2))::BIGINT)), lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+    SELECT run, {_crc_sql("run")} % 10000 AS bucket
     FROM (SELECT DISTINCT run FROM counted), bytes
 ), sums AS (
     SELECT bucket, coalesce(sum(n) FILTER (kind = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (kind = 'b'), 0)::DOUBLE AS t
@@ -192,14 +201,20 @@ def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fingerprint_sql() -> str:
-    hashes = ", ".join(f"{x}{i}" for i in range(6) for x in "abc")
-    rows = ", ".join(f"({k}, {', '.join(str(n) for triple in own for n in triple)})" for k, own in enumerate(fingerprints.factors()))
-    drawn = [f"((high * a{i} + low * b{i} + c{i}) % {fingerprints.PRIME})" for i in range(6)]
-    u = [f"(({d} + 0.5::DOUBLE) / {fingerprints.PRIME}::DOUBLE)" for d in drawn]
-    bits, values = 1 << fingerprints.SAMPLE_BITS, 1 << fingerprints.VALUE_BITS
+    quantiles = fingerprints.gamma_quantiles()
+    steps, ln_steps = (", ".join(f"{v!r}::DOUBLE" for v in values) for values in (quantiles, [math.log(q) for q in quantiles]))
+    word, places, bits = 1 << 64, 1 << fingerprints.GAMMA_BITS, 1 << fingerprints.SAMPLE_BITS
+    shifts, values = 1 << fingerprints.SHIFT_BITS, 1 << fingerprints.VALUE_BITS
+    p1, p2, p3, p4, p5 = 11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261
+
+    def times(x: str, factor: int) -> str:
+        return f"({x} * {factor}::UHUGEINT % {word}::UHUGEINT)"
+
+    def turned(x: str, n: int) -> str:
+        return f"(({x} << {n}) % {word}::UHUGEINT + ({x} >> {64 - n}))"
+
     return rf"""
-WITH factors(k, {hashes}) AS (VALUES {rows}),
-whole AS (
+WITH {_CRC_TABLE}, whole AS (
     SELECT doc_id, coalesce(text, '') AS text, coalesce(lead(text) OVER later, first_value(text) OVER later, '') AS following
     FROM documents WINDOW later AS (ORDER BY doc_id DESC ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
 ), edited AS (
@@ -207,20 +222,31 @@ whole AS (
            substr(text, 1, length(text) - length(text) // 3) || substr(following, 1, length(text) // 3) AS edited
     FROM whole
 ), terms AS (
-    SELECT doc_id, kind, ('0x' || substr(md5(term), 1, 15))::BIGINT AS hashed
+    SELECT doc_id, kind, term, count(*) AS n
     FROM (SELECT doc_id, 0 AS kind, unnest(regexp_extract_all(text, '{fingerprints.TERM}')) AS term FROM edited
-          UNION ALL SELECT doc_id, 1, unnest(regexp_extract_all(edited, '{fingerprints.TERM}')) FROM edited)
+          UNION ALL SELECT doc_id, 1, unnest(regexp_extract_all(edited, '{fingerprints.TERM}')) FROM edited) GROUP BY ALL
+), crcs AS (
+    SELECT term, {_crc_sql("term")} AS crc FROM (SELECT DISTINCT term FROM terms), bytes
 ), weights AS (
-    SELECT doc_id, kind, hashed >> 30 AS high, hashed & {(1 << 30) - 1} AS low, ln(count(*)) AS ln_weight FROM terms GROUP BY doc_id, kind, hashed
+    SELECT doc_id, kind, crc, ln(sum(n)) AS ln_weight FROM terms JOIN crcs USING (term) GROUP BY ALL
+), mixed0 AS (
+    SELECT crc, k, {times("(crc + k * 4294967296)::UHUGEINT", p2)} AS a
+    FROM (SELECT DISTINCT crc FROM crcs), (SELECT unnest(range({fingerprints.SAMPLES})) AS k)
+), mixed1 AS (SELECT crc, k, {times(turned("a", 31), p1)} AS a FROM mixed0
+), mixed2 AS (SELECT crc, k, xor({(42 + p5 + 8) % word}::UHUGEINT, a) AS a FROM mixed1
+), mixed3 AS (SELECT crc, k, ({times(turned("a", 27), p1)} + {p4}::UHUGEINT) % {word}::UHUGEINT AS a FROM mixed2
+), mixed4 AS (SELECT crc, k, {times("xor(a, a >> 33)", p2)} AS a FROM mixed3
+), mixed5 AS (SELECT crc, k, {times("xor(a, a >> 29)", p3)} AS a FROM mixed4
+), mixed6 AS (SELECT crc, k, xor(a, a >> 32) AS x FROM mixed5
 ), variates AS (
-    SELECT doc_id, kind, k, a5, {drawn[5]} AS place, ln_weight, -ln({u[0]} * {u[1]}) AS step, -ln({u[2]} * {u[3]}) AS c, {u[4]} AS shift
-    FROM weights, factors
-), valued AS (
-    SELECT *, floor(ln_weight / step + shift) AS t FROM variates
+    SELECT crc, k, ([{steps}])[(x >> {64 - fingerprints.GAMMA_BITS})::BIGINT + 1] AS step,
+           ([{ln_steps}])[((x >> {64 - 2 * fingerprints.GAMMA_BITS}) % {places}::UHUGEINT)::BIGINT + 1] AS ln_c,
+           (x % {shifts}::UHUGEINT)::DOUBLE / {shifts}::DOUBLE AS shift, (x >> {fingerprints.SHIFT_BITS})::BIGINT AS own
+    FROM mixed6
 ), samples AS (
-    SELECT doc_id, kind, k, min(floor((ln(c) - step * (t - shift) - step + {fingerprints.ABOVE}) * {values})::BIGINT * {bits}
-                                + (place + (t::BIGINT % {1 << 30}) * a5) % {fingerprints.PRIME} % {bits}) % {bits} AS s
-    FROM valued GROUP BY doc_id, kind, k
+    SELECT doc_id, kind, k, min(floor((ln_c - step * (t + 1.0::DOUBLE - shift) + {fingerprints.ABOVE}::DOUBLE) * {values}::DOUBLE)::BIGINT * {bits}
+                                + (own + t::BIGINT) % {bits}) % {bits} AS s
+    FROM (SELECT *, floor(ln_weight / step + shift) AS t FROM weights JOIN variates USING (crc)) GROUP BY doc_id, kind, k
 ), prints AS (
     SELECT doc_id, kind, string_agg(right('0000' || lower(hex(s)), 4), '' ORDER BY k) AS print, list(s ORDER BY k) AS list FROM samples GROUP BY doc_id, kind
 ), beside AS (
