@@ -105,6 +105,23 @@ def champion_tolerance(spark, sf_dir):
     return champion_history(fx.model_runs(spark, sf_dir), tolerance=0.05).select("model", "version", "promoted")
 
 
+# One model with a run per line of an order, ever better but for a little noise, and a small one beside it.
+_STEADY = """SELECT CASE WHEN l_linenumber = 7 THEN 'few' ELSE 'steady' END AS model, l_orderkey * 10 + l_linenumber AS version,
+ 100 / (1 + l_orderkey / 6000.0e0) + min(l_partkey % 7) * 0.01e0 AS val_mae FROM {lineitem} GROUP BY l_orderkey, l_linenumber"""
+
+
+@query("champion_tolerance_steady", f"""WITH RECURSIVE runs AS ({_STEADY.format(lineitem="lineitem")}),
+ walk AS (SELECT model, min(version) AS version, arg_min(val_mae, version) AS champion FROM runs GROUP BY model
+  UNION ALL SELECT w.model, min(r.version), arg_min(r.val_mae, r.version) FROM walk w JOIN runs r
+   ON r.model = w.model AND r.version > w.version AND r.val_mae <= w.champion * (1.0e0 - 0.01e0) GROUP BY w.model)
+ SELECT r.model, r.version, r.val_mae, w.version IS NOT NULL AS promoted FROM runs r
+  LEFT JOIN walk w ON w.model = r.model AND w.version = r.version""")
+def champion_tolerance_steady(spark, sf_dir):
+    """Champions that had to be one per cent better, in one long line of ever better runs."""
+    runs = spark.sql(_STEADY.format(lineitem=f"parquet.`{sf_dir}/lineitem.parquet`"))
+    return champion_history(runs, tolerance=0.01)
+
+
 @query("current_champions", f"""WITH {MODEL_RUNS}, best AS (SELECT *, min(val_mae) OVER
  (PARTITION BY model ORDER BY version ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM model_runs),
  won AS (SELECT * FROM best WHERE before IS NULL OR val_mae <= before)
