@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from meterflow.config import KNOWN_ENDPOINTS, LATENCY_BOUNDS
 from meterflow.functions.histograms import bound_index, bucket_quantile, running_totals
+from meterflow.session import materialise
 
 _MICROS = 1_000_000
+_RANGES = 256
 
 
 def known_endpoint(endpoint: Column) -> Column:
@@ -87,10 +89,60 @@ def latency_quantiles(df: DataFrame, quantiles: dict[str, float], value: str = "
 
 
 def exact_quantiles(df: DataFrame, quantiles: dict[str, float], value: str = "latency_s",
-                    keys: Sequence[str] = ("endpoint",), time: str = "ts", window_seconds: int = 300) -> DataFrame:
-    """Exact interpolated quantiles per tumbling window, for checking the bucket estimates."""
-    return df.groupBy(*keys, step_start(F.col(time), window_seconds).alias("window_start")).agg(
-        *[F.percentile(value, q).alias(name) for name, q in quantiles.items()])
+                    keys: Sequence[str] = ("endpoint",), time: str = "ts", window_seconds: int = 300,
+                    few_rows: int = 10_000) -> DataFrame:
+    """Exact interpolated quantiles per tumbling window, for checking the bucket estimates.
+
+    The ranks of all quantiles are selected in all groups at once by counting: a pass counts each group's rows in
+    ``_RANGES`` equal ranges between the least and greatest value still possible for a rank, and goes on in the range that
+    holds it. Counts are summed before they are shuffled, so no group's values are ever held together, whatever its
+    share of the rows; only a range of at most ``few_rows`` is put in order. Values that are null or not a number are
+    left out; a group without any has null quantiles.
+    """
+    group = [f"_k{i}" for i in range(len(keys) + 1)]
+    named = [*[F.col(k).alias(g) for k, g in zip(keys, group)], step_start(F.col(time), window_seconds).alias(group[-1])]
+    number = F.col(value).cast("double")
+    rows = df.select(*named, F.when(~F.isnan(number), number).alias("_v"))
+    rows = materialise(rows.withColumn("_group", F.struct(*group)), "quantiles")
+    sizes = materialise(rows.groupBy("_group", *group).agg(F.count("_v").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")), "quantiles")
+    values = rows.filter("_v IS NOT NULL").select("_group", "_v")
+    wanted = [F.struct(F.lit(name).alias("_name"), (F.lit(q) * (F.col("_n") - 1)).alias("_at")) for name, q in quantiles.items()]
+    places = sizes.filter("_n > 0").select("_group", "_n", "_lo", "_hi", F.inline(F.array(*wanted)))
+    both = F.explode(F.array_distinct(F.array(F.floor("_at") + 1, F.ceil("_at") + 1)))
+    # one target per group and rank; ``_left`` is its rank among the rows of its range
+    targets = places.select("_group", both.alias("_rank"), F.col("_n").alias("_rows"), "_lo", "_hi").distinct().withColumn("_left", F.col("_rank"))
+    known = None
+    while True:
+        targets = materialise(targets, "quantile-ranges")
+        done = targets.filter("_lo = _hi").select("_group", "_rank", F.col("_lo").alias("_value"))
+        known = done if known is None else known.unionByName(done)
+        small = (F.col("_rows") <= few_rows) & (F.col("_lo") < F.col("_hi"))
+        inside = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
+        order = Window.partitionBy("_group", "_rank").orderBy("_v")
+        ranked = values.join(targets.filter(small), "_group").filter(inside).withColumn("_place", F.row_number().over(order))
+        known = known.unionByName(ranked.filter("_place = _left").select("_group", "_rank", F.col("_v").alias("_value")))
+        large = targets.filter(~small & (F.col("_lo") < F.col("_hi")))
+        if large.isEmpty():
+            break
+        # halves, so that the widest spans do not overflow
+        share = (F.col("_v") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
+        part = F.when(F.col("_v") == F.col("_lo"), -1).when(F.col("_v") == F.col("_hi"), _RANGES).otherwise(
+            F.least(F.floor(F.coalesce(share, F.lit(0.0)) * _RANGES), F.lit(_RANGES - 1)))
+        counted = values.join(large, "_group").filter(inside).groupBy("_group", "_rank", "_left", part.alias("_part")).agg(
+            F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+        so_far = Window.partitionBy("_group", "_rank").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        counted = counted.withColumn("_before", F.coalesce(F.sum("_rows").over(so_far), F.lit(0)))
+        held = (F.col("_before") < F.col("_left")) & (F.col("_left") <= F.col("_before") + F.col("_rows"))
+        targets = counted.filter(held).select("_group", "_rank", (F.col("_left") - F.col("_before")).alias("_left"), "_rows", "_lo", "_hi")
+    known = materialise(known, "quantile-values")
+    low = known.select("_group", (F.col("_rank") - 1).alias("_floor"), F.col("_value").alias("_below"))
+    high = known.select("_group", (F.col("_rank") - 1).alias("_ceil"), F.col("_value").alias("_above"))
+    near = places.select("_group", "_name", "_at", F.floor("_at").alias("_floor"), F.ceil("_at").alias("_ceil"))
+    near = near.join(low, ["_group", "_floor"]).join(high, ["_group", "_ceil"])
+    between = F.col("_below") + (F.col("_above") - F.col("_below")) * (F.col("_at") - F.col("_floor"))
+    found = near.groupBy("_group").agg(*[F.max(F.when(F.col("_name") == name, between)).alias(f"_q{i}") for i, name in enumerate(quantiles)])
+    return sizes.join(found, "_group", "left").select(
+        *[F.col(g).alias(k) for g, k in zip(group, [*keys, "window_start"])], *[F.col(f"_q{i}").alias(name) for i, name in enumerate(quantiles)])
 
 
 def error_ratio(df: DataFrame, time: str = "ts", step_seconds: int = 60, window_seconds: int = 300) -> DataFrame:

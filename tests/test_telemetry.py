@@ -1,3 +1,5 @@
+import math
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -80,3 +82,30 @@ def test_slot_sessions_equal_session_windows(spark):
     df = spark.createDataFrame(rows, "client string, ts timestamp")
     got = {tuple(r) for r in tm.activity_sessions(df).collect()}
     assert got == {tuple(r) for r in client_sessions(df, watermark=None).collect()}
+
+
+@pytest.mark.parametrize("few_rows", [1, 40, 10_000])
+def test_exact_quantiles_by_counting(spark, few_rows):
+    """Half of the rows in one group, ties, lone rows, values that are missing or no number, groups without any."""
+    rng = random.Random(5)
+    start = datetime(2026, 3, 1)
+    rows = [("hot" if i % 2 else rng.choice(["a", "b", None]), start + timedelta(seconds=rng.randrange(2) * 300),
+             rng.choice([rng.gauss(0, 1) * 10 ** rng.randint(-3, 3), 5.0, -0.0, 0.0])) for i in range(900)]
+    rows += [("lone", start, 1.5), ("none", start, None), ("nan", start, float("nan")), ("nan", start, 2.0), ("wide", start, 1.7e308), ("wide", start, -1.7e308),
+             ("wide", start, 1.0)]
+    df = spark.createDataFrame(rows, "endpoint string, ts timestamp, latency_s double").repartition(4)
+    wanted = {"low": 0.0, "p50": 0.5, "p95": 0.95, "top": 1.0}
+    got = {(r.endpoint, r.window_start): r for r in tm.exact_quantiles(df, wanted, few_rows=few_rows).collect()}
+    groups = {}
+    for endpoint, ts, value in rows:
+        groups.setdefault((endpoint, ts), []).extend([] if value is None or value != value else [value])
+    assert got.keys() == groups.keys()
+    for key, values in groups.items():
+        values.sort()
+        for name, q in wanted.items():
+            if not values:
+                assert got[key][name] is None
+                continue
+            at = q * (len(values) - 1)
+            below, above = values[math.floor(at)], values[math.ceil(at)]
+            assert got[key][name] == pytest.approx(below + (above - below) * (at - math.floor(at)))

@@ -136,6 +136,19 @@ def latency_quantile_exact(spark, sf_dir):
     return _ntz(windows.withColumns({q: F.round(q, 6) for q in ("p50", "p95")}), "window_start")
 
 
+@query("latency_quantile_hot", f"""WITH {REQUESTS} SELECT CASE WHEN request_id % 2 = 0 THEN '/hot' ELSE endpoint END AS endpoint,
+ date_trunc('month', ts) AS window_start, round(quantile_cont(latency_s, 0.25), 6) AS p25, round(quantile_cont(latency_s, 0.5), 6) AS p50,
+ round(quantile_cont(latency_s, 0.99), 6) AS p99 FROM requests GROUP BY ALL""")
+def latency_quantile_hot(spark, sf_dir):
+    """Exact quantiles of a month where one endpoint has half of the rows, by several passes of counting."""
+    requests = fx.requests(spark, sf_dir)
+    endpoint = F.when(F.col("request_id") % 2 == 0, F.lit("/hot")).otherwise(F.col("endpoint"))
+    month = requests.select("latency_s", endpoint.alias("endpoint"), F.date_trunc("month", "ts").alias("ts"))
+    wanted = {"p25": 0.25, "p50": 0.5, "p99": 0.99}
+    windows = tm.exact_quantiles(month, wanted, window_seconds=86_400, few_rows=20)
+    return _ntz(windows.withColumns({q: F.round(q, 6) for q in wanted}), "window_start")
+
+
 _ERROR_RATIO = """spread AS (SELECT status, {trunc} + s.d AS window_end FROM requests
   CROSS JOIN (SELECT {step} * unnest(range(1, {steps} + 1)) AS d) AS s),
  ratios AS (SELECT window_end, count(*) FILTER (status BETWEEN 500 AND 599) AS errors, count(*) AS requests,
