@@ -143,6 +143,6 @@ class ModelSettings:
     subsample_rows: int | None = 2_000_000
     history_months: int = 12
     ratios: tuple[float, float, float] = (0.70, 0.15, 0.15)
-    importance_rows: int = 1000
+    importance_rows: int | None = None
     importance_repeats: int = 5
     gate: QualityGate = field(default_factory=QualityGate)

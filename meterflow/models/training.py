@@ -5,21 +5,23 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow.config import ModelSettings, TARGET
 from meterflow.errors import DataValidationError
 from meterflow.models.encoding import encoding_stages, to_log
 from meterflow.operators.evaluation import regression_metrics
+from meterflow.operators.ordering import with_row_index
 from meterflow.operators.splitting import head_rows, seeded_subsample
-from meterflow.session import shared_folder
+from meterflow.session import materialise, shared_folder
 from meterflow.sources.zones import zone_path
 
 # --- Fixed values: algorithm names that select a tree learner ---------------------------------
 FOREST = ("forest", "RandomForestRegressor")
 BOOSTING = ("boosting", "HistGradientBoostingRegressor", "XGBRegressor")
 _LOG_TARGET, _LOG_PREDICTION = "log_minutes", "log_prediction"
+_SHUFFLE_ROUNDS = 16
 
 
 def learner(settings: ModelSettings):
@@ -58,28 +60,46 @@ def tree_importance(model: PipelineModel, spark: SparkSession, features: Sequenc
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
+def shuffled_place(place: Column, rows: int, *keys: Column) -> Column:
+    """Where a keyed bijection of all places below ``rows`` takes a place.
+
+    Each round mirrors the places at a point drawn from the key and swaps each pair of mirror images, or not, by
+    one bit drawn from key and pair. That is a bijection for any number of rows, and every place finds its own image alone.
+    """
+
+    def turned(at: Column, turn: Column) -> Column:
+        mirror = F.pmod(F.pmod(F.xxhash64(turn, *keys), F.lit(rows)) - at, F.lit(rows))
+        return F.when(F.xxhash64(turn, *keys, F.greatest(at, mirror)) % 2 == 0, mirror).otherwise(at)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(_SHUFFLE_ROUNDS)), place.cast("bigint"), turned)
+
+
 def permutation_importance(model: PipelineModel, table: DataFrame, settings: ModelSettings = ModelSettings(),
                            order: Sequence[str] = ("pickup_datetime", "trip_id")) -> DataFrame:
     """Loss of R2, in minutes, when one feature's values are shuffled, averaged over repeats.
 
-    The sample is the first rows in order, a set of fixed size. Every (feature, repeat) pair of it is
-    scored in one job.
+    All rows of the table take part, unless ``importance_rows`` asks for the first ones in order. Rows are numbered once;
+    in every (feature, repeat) trial a keyed bijection of the numbers tells each row which other one lends it its value, so a
+    trial is one equal join and nothing is put in order. All trials are scored in one job.
     """
     features = list(settings.features)
     needed = list(dict.fromkeys([*order, *features, TARGET]))
-    sample = head_rows(table.select(*needed), settings.importance_rows, order)
-    numbered = sample.withColumn("_row", F.row_number().over(Window.orderBy(*order)))
+    sample = table.select(*needed)
+    if settings.importance_rows is not None:
+        sample = head_rows(sample, settings.importance_rows, order)
+    numbered = materialise(with_row_index(sample, order, "_row").withColumn("_row", F.col("_row") - 1), "importance")
+    rows = numbered.count()
+    if not rows:
+        raise DataValidationError("importance needs at least one row")
     trials = numbered.withColumn("_feature", F.explode(F.array(*[F.lit(name) for name in features]))).withColumn(
         "_repeat", F.explode(F.sequence(F.lit(1), F.lit(settings.importance_repeats))))
-    draw = Window.partitionBy("_feature", "_repeat").orderBy(
-        F.xxhash64(F.lit(settings.seed), F.col("_feature"), F.col("_repeat"), F.col("_row")), "_row")
-    trials = trials.withColumn("_donor", F.row_number().over(draw))
+    trials = trials.withColumn("_donor", shuffled_place(F.col("_row"), rows, F.lit(settings.seed), F.col("_feature"), F.col("_repeat")))
     donors = numbered.select(F.col("_row").alias("_donor"), F.struct(*features).alias("_values"))
     shuffled = trials.join(donors, "_donor").select(
         "_feature", "_repeat", TARGET,
         *[F.when(F.col("_feature") == name, F.col(f"_values.{name}")).otherwise(F.col(name)).alias(name)
           for name in features])
-    base = regression_metrics(predict(model, sample), TARGET).first().r2
+    base = regression_metrics(predict(model, numbered), TARGET).first().r2
     worse = regression_metrics(predict(model, shuffled), TARGET, by=["_feature", "_repeat"])
     return (worse.groupBy(F.col("_feature").alias("feature"))
             .agg((F.lit(base) - F.avg("r2")).alias("importance")).orderBy(F.desc("importance"), "feature"))

@@ -56,12 +56,12 @@ def test_key_at_rank_with_ties_at_every_depth(spark, monkeypatch):
     df.unpersist()
 
 
-def test_ratio_split_of_twenty_rows(spark):
-    df = frame(spark, [(i, START + timedelta(hours=i)) for i in range(20)])
-    split = split_by_ratio(df)
-    assert {r.split: r.rows for r in split_sizes(split).collect()} == {"train": 14, "validation": 3, "test": 3}
-    last_train = split.filter("split = 'train'").agg(F.max("trip_id")).first()[0]
-    assert last_train == 13 and check_split(split) == {"train": 14, "validation": 3, "test": 3}
+def test_ratio_split_follows_the_clock(spark):
+    df = frame(spark, [(i, START + timedelta(minutes=7 * i)) for i in range(50)])
+    split = split_by_ratio(df, (0.6, 0.1, 0.3))
+    sizes = {"train": 30, "validation": 5, "test": 15}
+    assert {r.split: r.rows for r in split_sizes(split).collect()} == sizes == check_split(split)
+    assert {r.split: r.first for r in split.groupBy("split").agg(F.min("trip_id").alias("first")).collect()} == {"train": 0, "validation": 30, "test": 35}
 
 
 def test_ratio_split_is_exact_on_tied_times(spark):
@@ -82,30 +82,30 @@ def test_too_few_rows_raise(spark):
         split_by_ratio(frame(spark, []))
 
 
-def month_ends(spark):
-    ends = [datetime(2026, m, 28) for m in range(1, 11)]
-    return frame(spark, list(enumerate(ends)))
+def every_third_day(spark):
+    days = [datetime(2025, 3, 3) + timedelta(days=3 * k) for k in range(40)]
+    return frame(spark, list(enumerate(days)))
 
 
-def test_date_split_of_ten_months(spark):
-    split = split_by_date(month_ends(spark), datetime(2026, 7, 1), datetime(2026, 9, 1))
-    assert check_split(split) == {"train": 6, "validation": 2, "test": 2}
+def test_date_split_of_a_spring(spark):
+    split = split_by_date(every_third_day(spark), datetime(2025, 4, 2), datetime(2025, 5, 29))  # days 30 and 87 from the first
+    assert check_split(split) == {"train": 10, "validation": 19, "test": 11}
 
 
 def test_date_split_guards(spark):
     with pytest.raises(DataValidationError, match="before test"):
-        split_by_date(month_ends(spark), datetime(2026, 9, 1), datetime(2026, 7, 1))
+        split_by_date(every_third_day(spark), datetime(2026, 9, 1), datetime(2026, 7, 1))
     with pytest.raises(DataValidationError, match="empty"):
-        check_split(split_by_date(month_ends(spark), datetime(2027, 1, 1), datetime(2027, 2, 1)))
-    lost = month_ends(spark).withColumn("pickup_datetime", F.when(F.col("trip_id") > 0, F.col("pickup_datetime")))
+        check_split(split_by_date(every_third_day(spark), datetime(2027, 1, 1), datetime(2027, 2, 1)))
+    lost = every_third_day(spark).withColumn("pickup_datetime", F.when(F.col("trip_id") > 0, F.col("pickup_datetime")))
     with pytest.raises(DataValidationError, match="lost 1 rows"):
         check_split(split_by_date(lost, datetime(2026, 7, 1), datetime(2026, 9, 1)))
 
 
 def test_split_kind_follows_the_cutoffs(spark):
-    by_ratio = split_trips(month_ends(spark), (0.5, 0.3, 0.2))
+    by_ratio = split_trips(every_third_day(spark), (0.5, 0.3, 0.2))
     assert check_split(by_ratio) == {"train": 5, "validation": 3, "test": 2}
-    by_date = split_trips(month_ends(spark), (0.5, 0.3, 0.2), datetime(2026, 7, 1), datetime(2026, 9, 1))
+    by_date = split_trips(every_third_day(spark), (0.5, 0.3, 0.2), datetime(2026, 7, 1), datetime(2026, 9, 1))
     assert check_split(by_date)["train"] == 6
 
 

@@ -11,7 +11,7 @@ from meterflow.config import ModelSettings, TARGET
 from meterflow.errors import DataValidationError, QualityGateError
 from meterflow.models.registry import champion_version, next_version, read_runs, record_run
 from meterflow.models.training import (
-    load_model, permutation_importance, predict, save_model, train_model, tree_importance,
+    load_model, permutation_importance, predict, save_model, shuffled_place, train_model, tree_importance,
 )
 from meterflow.plans.etl import etl_job
 from meterflow.plans.score import score_job
@@ -156,6 +156,38 @@ def test_importance_ranks_the_real_cause_first(spark):
     assert shuffled[0].importance > 0.5 > abs(shuffled[-1].importance)
 
 
+@pytest.mark.parametrize("rows", [1, 2, 7, 1000])
+def test_a_shuffle_is_a_bijection_of_any_number_of_places(spark, rows):
+    df = spark.range(rows).crossJoin(spark.range(3).withColumnRenamed("id", "trial"))
+    got = df.select("trial", "id", shuffled_place(F.col("id"), rows, F.lit(42), F.col("trial")).alias("to")).collect()
+    for trial in range(3):
+        assert sorted(r.to for r in got if r.trial == trial) == list(range(rows))
+    if rows == 1000:  # far from where they were, and different in each trial
+        moved = [abs(r.to - r.id) for r in got]
+        assert 280 < sum(moved) / len(moved) < 390
+        assert len({(r.id, r.to) for r in got}) > 2900
+
+
+def test_importance_of_all_rows_equals_a_plain_shuffle_with_the_same_places(spark):
+    rows = feature_rows(spark)
+    model = train_model(rows, FEW)
+    got = {r.feature: r.importance for r in permutation_importance(model, rows, FEW).collect()}
+    frame = rows.select(*FEW.features, "pickup_datetime", "trip_id", "trip_duration_minutes").toPandas()
+    frame = frame.sort_values(["pickup_datetime", "trip_id"]).reset_index(drop=True)
+
+    def r2(table):
+        scored = predict(model, spark.createDataFrame(table)).toPandas()
+        y = scored["trip_duration_minutes"]
+        return 1 - ((y - scored["prediction"]) ** 2).sum() / ((y - y.mean()) ** 2).sum()
+
+    name = "trip_distance"
+    places = spark.range(len(frame)).crossJoin(spark.range(1, FEW.importance_repeats + 1).selectExpr("CAST(id AS INT) AS repeat"))
+    donor = shuffled_place(F.col("id"), len(frame), F.lit(FEW.seed), F.lit(name), F.col("repeat"))
+    lent = places.select("repeat", "id", donor.alias("donor")).toPandas().sort_values(["repeat", "id"])
+    losses = [r2(frame) - r2(frame.assign(**{name: frame[name].to_numpy()[own["donor"].to_numpy()]})) for _, own in lent.groupby("repeat")]
+    assert got[name] == pytest.approx(sum(losses) / len(losses))
+
+
 def test_training_parameters_are_checked(spark):
     with pytest.raises(DataValidationError):
         train_model(feature_rows(spark), replace(FEW, trees=0))
