@@ -94,19 +94,19 @@ def test_date_split_of_a_spring(spark):
 
 def test_date_split_guards(spark):
     with pytest.raises(DataValidationError, match="before test"):
-        split_by_date(every_third_day(spark), datetime(2026, 9, 1), datetime(2026, 7, 1))
+        split_by_date(every_third_day(spark), datetime(2025, 5, 29), datetime(2025, 4, 2))
     with pytest.raises(DataValidationError, match="empty"):
         check_split(split_by_date(every_third_day(spark), datetime(2027, 1, 1), datetime(2027, 2, 1)))
     lost = every_third_day(spark).withColumn("pickup_datetime", F.when(F.col("trip_id") > 0, F.col("pickup_datetime")))
     with pytest.raises(DataValidationError, match="lost 1 rows"):
-        check_split(split_by_date(lost, datetime(2026, 7, 1), datetime(2026, 9, 1)))
+        check_split(split_by_date(lost, datetime(2025, 4, 2), datetime(2025, 5, 29)))
 
 
 def test_split_kind_follows_the_cutoffs(spark):
     by_ratio = split_trips(every_third_day(spark), (0.5, 0.3, 0.2))
-    assert check_split(by_ratio) == {"train": 5, "validation": 3, "test": 2}
-    by_date = split_trips(every_third_day(spark), (0.5, 0.3, 0.2), datetime(2026, 7, 1), datetime(2026, 9, 1))
-    assert check_split(by_date)["train"] == 6
+    assert check_split(by_ratio) == {"train": 20, "validation": 12, "test": 8}
+    by_date = split_trips(every_third_day(spark), (0.5, 0.3, 0.2), datetime(2025, 4, 2), datetime(2025, 5, 29))
+    assert check_split(by_date)["train"] == 10
 
 
 def test_subsample_is_exact_and_repeatable(spark):
