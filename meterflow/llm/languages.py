@@ -168,14 +168,17 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def without_unknown(docs: DataFrame, labels: list[str], model: np.ndarray) -> DataFrame:
-    """The rows whose language is known, all columns as they were; no join, no shuffle."""
+    """The rows whose language is known, all columns as they were; no join, no shuffle.
+
+    Where nothing was learnt no language can be told from another, and every text with a letter stays.
+    """
     by_bucket = np.ascontiguousarray(model.T)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=max(1 << 16, (4 << 20) // max(1, len(labels)))):
             texts = raw_texts(batch)
-            known = [i for i, t in enumerate(texts) if labels and _LETTER.search(t.decode(errors="replace"))]
-            shares = infer([texts[i] for i in known], by_bucket) if known else np.zeros((0, 1))
+            known = [i for i, t in enumerate(texts) if _LETTER.search(t.decode(errors="replace"))]
+            shares = infer([texts[i] for i in known], by_bucket) if known and labels else np.ones((len(known), 1))
             yield batch.take(pa.array([i for i, own in zip(known, shares) if own.max() > 0], pa.int64()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -1,6 +1,7 @@
 """The pipeline's stages, each on what the one before it kept."""
 
 import corpus_pipeline
+from meterflow.llm import languages
 from meterflow.llm.tables import written
 
 SF = "/root/testdata/sf0.001"
@@ -22,3 +23,10 @@ def test_stages(spark):
     rows = sorted(corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect(), key=lambda r: r.start)
     assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in kept)
     assert all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:]))
+
+
+def test_without_labels_texts_with_a_letter_stay(spark):
+    rows = [(1, "some words"), (2, None), (3, "12 34"), (4, ""), (5, "слова")]
+    docs = spark.createDataFrame([(i, t, None, "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = languages.without_unknown(docs, *languages.learn(languages.teaching(docs)))
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 5] and kept.columns == docs.columns

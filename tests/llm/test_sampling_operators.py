@@ -138,16 +138,22 @@ def test_compared_documents(spark):
 
 
 def test_collision_rate_is_the_generalised_jaccard_similarity(spark):
+    """The same texts in six alphabets, each with draws of its own: 6 * 192 samples for every pair.
+
+    A share of 1152 samples has a standard deviation of 0.015 at most. Pairs share their draws, so the mean of all
+    their misses is hardly steadier than one of them; three deviations bound it, five the worst pair.
+    """
     rng = random.Random(9)
-    words = [f"w{i}" for i in range(60)]
-    texts = [" ".join(rng.choices(words, weights=[1 / (i + 1) for i in range(60)], k=200)) for _ in range(8)]
-    texts += [t + " " + " ".join(rng.choices(words, k=60)) for t in texts] + ["w0 " * 50, "w0 " * 100]
-    df = spark.createDataFrame(list(enumerate(texts)), "n long, text string")
-    prints = {r.n: r.fingerprint for r in fingerprints.fingerprints(df, ["n"], "text", samples=512).collect()}
-    pairs = spark.createDataFrame([(a, b, prints[a], prints[b]) for a in prints for b in prints], "a long, b long, pa string, pb string")
-    found = pairs.select("a", "b", fingerprints.likeness(F.col("pa"), F.col("pb")).alias("like")).collect()
+    texts = [" ".join(str(w) for w in rng.choices(range(60), weights=[1 / (i + 1) for i in range(60)], k=200)) for _ in range(5)]
+    texts += [t + " " + " ".join(str(w) for w in rng.choices(range(60), k=60)) for t in texts] + ["0 " * 50, "0 " * 100]
+    rows = [(n, x, re.sub(r"(\d+)", rf"{x}\1", t)) for n, t in enumerate(texts) for x in "abcdef"]
+    df = spark.createDataFrame(rows, "n long, x string, text string")
+    prints = {(r.n, r.x): r.fingerprint for r in fingerprints.fingerprints(df, ["n", "x"], "text", samples=192).collect()}
+    pairs = [(a, b, prints[a, x], prints[b, x]) for a in range(len(texts)) for b in range(a + 1) for x in "abcdef"]
+    found = spark.createDataFrame(pairs, "a long, b long, pa string, pb string").groupBy("a", "b").agg(
+        F.avg(fingerprints.likeness(F.col("pa"), F.col("pb"))).alias("like")).collect()
     misses = [r.like - plain_likeness(texts[r.a], texts[r.b]) for r in found]
-    assert max(map(abs, misses)) < 0.1 and abs(sum(misses) / len(misses)) < 0.01
+    assert max(map(abs, misses)) < 0.075 and abs(sum(misses) / len(misses)) < 0.045
     assert all(r.like == 1 for r in found if r.a == r.b)
 
 
