@@ -65,22 +65,21 @@ def _settled(contested: DataFrame, request_id: str, limit: int, window: int, sli
     """Walk all slices from empty windows, then again those that start from another window than was handed on."""
     marks = [materialise(_walked(contested, None, request_id, limit, window, 0), "throttle-marks")]
     handed = [_handed_on(marks[0], window, slice_micros)]
-    slices = contested.groupBy("_who", "_slice").agg(F.lit(0).alias("_round"), F.lit(None).cast("string").alias("_assumed"),
-                                                     F.lit(False).alias("_follows"))
+    # a row per client and contested slice
+    slices = materialise(marks[0].groupBy("_who", "_slice").agg(
+        F.lit(0).alias("_round"), F.lit(None).cast("string").alias("_assumed"), F.lit(False).alias("_follows")), "throttle-slices")
     while True:
-        slices = materialise(slices, "throttle-slices")  # a row per client and contested slice
         latest = slices.select("_who", (F.col("_slice") + 1).alias("_slice"), "_round")
         carry = _union([h.withColumn("_round", F.lit(i)) for i, h in enumerate(handed)]).join(latest, ["_who", "_slice", "_round"], "left_semi")
         digest = carry.groupBy("_who", "_slice").agg(
             F.concat_ws(",", F.count(F.lit(1)), F.sum(F.xxhash64("_t").cast("decimal(20,0)"))).alias("_given"))
         judged = slices.join(digest, ["_who", "_slice"], "left")
         # a slice walked right behind its predecessor cannot differ: whatever walks the one again walks the other
-        judged = materialise(judged.withColumn("_due", ~F.col("_follows") & ~F.col("_assumed").eqNullSafe(F.col("_given"))), "throttle-slices")
-        if judged.filter("_due").isEmpty():
+        due = ~F.col("_follows") & ~F.col("_assumed").eqNullSafe(F.col("_given"))
+        run = Window.partitionBy("_who", F.shiftright("_slice", len(marks) - 1))
+        judged = materialise(judged.withColumn("_first", F.min(F.when(due, F.col("_slice"))).over(run)), "throttle-slices")
+        if judged.filter("_first IS NOT NULL").isEmpty():
             break
-        run = F.shiftright("_slice", len(marks) - 1)
-        first = F.min(F.when(F.col("_due"), F.col("_slice"))).over(Window.partitionBy("_who", run))
-        judged = materialise(judged.withColumn("_first", first), "throttle-slices")
         again = judged.filter("_slice >= _first").select("_who", "_slice")
         starts = carry.drop("_round").join(judged.filter("_slice = _first").select("_who", "_slice"), ["_who", "_slice"], "left_semi")
         rows = contested.join(again, ["_who", "_slice"], "left_semi")
@@ -106,7 +105,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def _handed_on(marks: DataFrame, window: int, slice_micros: int) -> DataFrame:
     """The admitted times that still count when the next slice begins, ``limit`` at most."""
     still = F.col("admitted") & (F.col("_t") >= (F.col("_slice") + 1) * slice_micros - window)
-    return materialise(marks.filter(still).select("_who", (F.col("_slice") + 1).alias("_slice"), "_t"), "throttle-handed")
+    return marks.filter(still).select("_who", (F.col("_slice") + 1).alias("_slice"), "_t")
 
 
 def _walked(rows: DataFrame, starts: DataFrame | None, request_id: str, limit: int, window: int, shift: int) -> DataFrame:
