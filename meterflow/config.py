@@ -139,6 +139,7 @@ class ModelSettings:
     learning_rate: float = 0.1
     max_depth: int = 6
     bins: int = 128
+    max_categories: int = 255
     seed: int = 42
     subsample_rows: int | None = 2_000_000
     history_months: int = 12

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from meterflow.config import ModelSettings, TARGET
 from meterflow.errors import DataValidationError
-from meterflow.models.encoding import encoding_stages, to_log
+from meterflow.models.encoding import Categories, categorical_features, choose_categories, encoding_stages, to_log
 from meterflow.operators.evaluation import regression_metrics
 from meterflow.operators.ordering import with_row_index
 from meterflow.operators.splitting import head_rows, seeded_subsample
@@ -24,11 +24,12 @@ _LOG_TARGET, _LOG_PREDICTION = "log_minutes", "log_prediction"
 _SHUFFLE_ROUNDS = 16
 
 
-def learner(settings: ModelSettings):
+def learner(settings: ModelSettings, bins: int = 0):
+    """The tree learner asked for, with at least ``bins`` bins."""
     if settings.trees <= 0:
         raise DataValidationError("the number of trees must be greater than zero")
     common = dict(featuresCol="features", labelCol=_LOG_TARGET, predictionCol=_LOG_PREDICTION,
-                  maxDepth=settings.max_depth, maxBins=settings.bins, seed=settings.seed)
+                  maxDepth=settings.max_depth, maxBins=max(settings.bins, bins), seed=settings.seed)
     if settings.algorithm in FOREST:
         return RandomForestRegressor(numTrees=settings.trees, featureSubsetStrategy="all", **common)
     if settings.algorithm in BOOSTING:
@@ -37,15 +38,27 @@ def learner(settings: ModelSettings):
 
 
 def train_model(train: DataFrame, settings: ModelSettings = ModelSettings(), key: str = "trip_id") -> PipelineModel:
-    """Encoding, trees on the log target, and the way back to minutes, as one pipeline."""
-    trees = learner(settings)
+    """Encoding, trees on the log target, and the way back to minutes, as one pipeline.
+
+    Boosted trees split categories of at most ``max_categories`` values by sets of values, and larger ones by codes in the order
+    of the mean log target. A forest takes codes in the order of the values for all of them.
+    """
+    learner(settings)  # refuses wrong settings before any row is read
     # boosting cuts its growing lineage in the shared folder
     shared_folder(train.sparkSession)
     if settings.subsample_rows is not None:
         train = seeded_subsample(train, settings.subsample_rows, settings.seed, key)
     minutes = SQLTransformer(statement=f"SELECT *, expm1({_LOG_PREDICTION}) AS prediction FROM __THIS__")
     fitted = train.select(*settings.features, to_log(F.col(TARGET)).alias(_LOG_TARGET))
-    return Pipeline(stages=[*encoding_stages(fitted, settings.features), trees, minutes]).fit(fitted)
+    names = categorical_features(fitted, settings.features, settings.categorical)
+    if settings.algorithm in BOOSTING:
+        # chosen, ordered and trained on: read several times
+        fitted = materialise(fitted, "training-rows")
+        categories, target = choose_categories(fitted, names, settings.max_categories), _LOG_TARGET
+    else:
+        categories, target = Categories(ordered=tuple(names)), None
+    stages = encoding_stages(fitted, settings.features, categories, target)
+    return Pipeline(stages=[*stages, learner(settings, categories.bins), minutes]).fit(fitted)
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -4,11 +4,14 @@ from datetime import date, datetime, timedelta
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from frames import table
 from meterflow.config import ModelSettings, TARGET
 from meterflow.errors import DataValidationError, QualityGateError
+from meterflow.models import encoding
+from meterflow.models.encoding import choose_categories, coded_name, encoding_stages
 from meterflow.models.registry import champion_version, next_version, read_runs, record_run
 from meterflow.models.training import (
     load_model, permutation_importance, predict, save_model, shuffled_place, train_model, tree_importance,
@@ -147,6 +150,64 @@ def test_unseen_category_is_scored(spark):
     assert predict(model, rows.limit(1).withColumn("PU_DO_pair", F.lit("9_9"))).first().prediction > 0
 
 
+def zone_rows(spark, count=600):
+    """Minutes depend on a set of zones that no order of their numbers brings together."""
+    zone = np.arange(count) % 12
+    frame = pd.DataFrame({
+        "trip_id": range(count), "pickup_datetime": datetime(2026, 1, 1), "zone": zone, "pair": [f"p{i % 40:02d}" for i in range(count)],
+        TARGET: np.where(np.isin(zone, [0, 3, 4, 7, 9, 11]), 40.0, 5.0) + (np.arange(count) * 7 % 40) * 0.001})
+    return table(spark, frame)
+
+
+ZONED = replace(SMALL, algorithm="boosting", features=("zone", "pair"), categorical=("zone",), trees=1, max_depth=1, bins=8, max_categories=12)
+
+
+def test_boosted_trees_split_few_values_by_sets_and_many_by_mean(spark):
+    rows = zone_rows(spark)
+    chosen = choose_categories(rows, ["zone", "pair"], 12)
+    assert chosen.nominal == ("zone",) and chosen.ordered == ("pair",) and chosen.sizes == (12,)
+    assert choose_categories(rows, ["zone", "pair"], 11).nominal == () and choose_categories(rows, [], 11).bins == 1
+    model = train_model(rows, ZONED)
+    # one cut is enough for a set, and more values than bins were asked for are no error
+    assert "in {" in model.stages[-2].toDebugString
+    errors = [abs(r.prediction - r[TARGET]) for r in predict(model, rows).collect()]
+    assert max(errors) < 1.0
+    ordinal = train_model(rows, replace(ZONED, max_categories=2))
+    assert "in {" not in ordinal.stages[-2].toDebugString
+    # a forest knows the order of the values alone
+    forest = train_model(rows, replace(ZONED, algorithm="forest"))
+    assert "in {" not in forest.stages[-2].toDebugString
+    assert max(abs(r.prediction - r[TARGET]) for r in predict(forest, rows).collect()) > 10
+
+
+def test_codes_above_the_threshold_follow_the_training_means(spark):
+    rows = zone_rows(spark).withColumn("log", F.log1p(TARGET))
+    stages = encoding_stages(rows, ["pair"], choose_categories(rows, ["pair"], 2), "log")
+    coded = Pipeline(stages=stages).fit(rows).transform(rows)
+    got = [r.pair for r in coded.select("pair", coded_name("pair")).distinct().orderBy(coded_name("pair")).collect()]
+    means = rows.toPandas().groupby("pair")["log"].mean().round(9)
+    assert got == sorted(means.index, key=lambda pair: (means[pair], pair))
+    odd = spark.createDataFrame([("new",), (None,), (got[0],)], "pair string")
+    codes = [r[0] for r in Pipeline(stages=stages).fit(rows).transform(odd).select(coded_name("pair")).collect()]
+    assert codes == [40.0, 40.0, 0.0]
+
+
+def test_a_category_is_known_by_value_whatever_its_number_type(spark):
+    rows = zone_rows(spark)
+    model = train_model(rows, ZONED)
+    same = [predict(model, rows.withColumn("zone", F.col("zone").cast(kind))).agg(F.sum("prediction")).first()[0]
+            for kind in ("int", "bigint", "double", "string")]
+    assert len(set(round(v, 6) for v in same)) == 1
+    missing = predict(model, rows.withColumn("zone", F.lit(None).cast("bigint")).limit(1)).first()
+    assert missing.prediction > 0
+
+
+def test_a_key_is_no_category(spark, monkeypatch):
+    monkeypatch.setattr(encoding, "MOST_LABELS", 30)
+    with pytest.raises(DataValidationError, match="pair"):
+        choose_categories(zone_rows(spark), ["zone", "pair"], 12)
+
+
 def test_importance_ranks_the_real_cause_first(spark):
     rows = feature_rows(spark)
     model = train_model(rows, FEW)

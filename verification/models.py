@@ -5,8 +5,8 @@ from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from meterflow import fixtures as fx
-from meterflow.config import CleaningLimits, ModelSettings
-from meterflow.models.encoding import coded_name, encoding_stages
+from meterflow.config import CATEGORICAL, CleaningLimits, ModelSettings, TARGET
+from meterflow.models.encoding import choose_categories, coded_name, encoding_stages, index_name, to_log
 from meterflow.models.scoring import score_requests
 from meterflow.models.training import permutation_importance, predict, train_model, tree_importance
 from meterflow.operators.cleaning import clean_trips
@@ -46,6 +46,31 @@ def category_codes(spark, sf_dir):
     return coded.select("PU_DO_pair", F.col(coded_name("PU_DO_pair")).alias("code")).distinct()
 
 
+_VALUES = " UNION ALL ".join(
+    f"SELECT '{name}' AS feature, CAST({name} AS VARCHAR) AS label, trip_duration_minutes AS y FROM featured" for name in CATEGORICAL)
+
+
+@query("category_kinds", f"""{HIST_FEATURES}, vals AS ({_VALUES}),
+ means AS (SELECT feature, label, round(avg(ln(1 + y)), 9) AS mean FROM vals GROUP BY ALL),
+ sized AS (SELECT *, count(*) OVER (PARTITION BY feature) AS size FROM means)
+ SELECT feature, label, CASE WHEN size <= 255 THEN 'nominal' ELSE 'ordered' END AS kind,
+ CAST(row_number() OVER (PARTITION BY feature ORDER BY CASE WHEN size <= 255 THEN 0e0 ELSE mean END, label) - 1 AS DOUBLE) AS code
+ FROM sized""")
+def category_kinds(spark, sf_dir):
+    """Every value of every categorical feature: split as a set member, or by its code in the order of mean log minutes."""
+    table = materialise(training_features(clean_trips(fx.trips_hist(spark, sf_dir))).withColumn("log_minutes", to_log(F.col(TARGET))),
+                        "categories")
+    categories = choose_categories(table, CATEGORICAL, ModelSettings().max_categories)
+    stages = encoding_stages(table, CATEGORICAL, categories, "log_minutes")
+    coded = Pipeline(stages=stages[:-1]).fit(table).transform(table)
+    # codes before the values: one row per value leaves each task, not four per trip
+    values = F.array(*[F.struct(
+        F.lit(name).alias("feature"), F.col(name).cast("string").alias("label"),
+        F.lit("nominal" if name in categories.nominal else "ordered").alias("kind"),
+        F.col(index_name(name) if name in categories.nominal else coded_name(name)).alias("code")) for name in CATEGORICAL])
+    return coded.select(F.inline(values)).distinct()
+
+
 @query("train_forest")
 def train_forest(spark, sf_dir):
     """Forest on the log target: metrics of each split part."""
