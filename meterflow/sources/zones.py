@@ -1,6 +1,8 @@
 """Storage zones under one base folder of any Hadoop file system, and the files in them."""
 
 import re
+import time
+import uuid
 from collections.abc import Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -12,12 +14,15 @@ from meterflow.config import CleaningLimits
 from meterflow.errors import DataValidationError
 from meterflow.operators.cleaning import check_loss, clean_trips, cleaning_report
 from meterflow.operators.validation import validate_trips
+from meterflow.session import broadcast_if_small
 
 # --- Fixed values: zone names and the file name pattern ---------------------------------------
 ZONES = ("raw", "processed", "features", "models", "metadata", "tmp")
 NAME_PATTERN = r"_(\d{4})-(\d{2})\.parquet$"
 DEFAULT_DATASET = "yellow"
 MONTH_KEYS = ("dataset", "year", "month")
+_VERSION = "v-[0-9]+-[0-9a-f]+"
+_POINTER_TYPE = "zone string, name string, version string, seq bigint"
 
 
 def zone_path(root: str, zone: str, name: str = "") -> str:
@@ -26,10 +31,29 @@ def zone_path(root: str, zone: str, name: str = "") -> str:
     return "/".join(part for part in (root.rstrip("/"), zone, name) if part)
 
 
+def _pointers(spark: SparkSession, root: str) -> DataFrame | None:
+    """Which version of each replaced table is in force: the newest row of a log that is only appended to."""
+    try:
+        log = spark.read.schema(_POINTER_TYPE).parquet(zone_path(root, "metadata", "versions"))
+    except AnalysisException:
+        return None
+    return log.groupBy("zone", "name").agg(F.max_by("version", F.struct("seq", "version")).alias("version"))
+
+
+def current_path(spark: SparkSession, root: str, zone: str, name: str = "") -> str:
+    """The folder that a table's readers have to follow; its own path if it was never replaced through ``write_zone``."""
+    pointers = _pointers(spark, root)
+    own = None if pointers is None else pointers.filter((F.col("zone") == zone) & (F.col("name") == name)).first()
+    return "/".join([zone_path(root, zone, name), own.version]) if own else zone_path(root, zone, name)
+
+
 def read_zone(spark: SparkSession, root: str, zone: str, name: str = "",
               columns: Sequence[str] | None = None) -> DataFrame:
-    """A Parquet file or table of a zone, reading only the columns asked for."""
-    path = zone_path(root, zone, name)
+    """A Parquet file or table of a zone, in the version in force now, reading only the columns asked for.
+
+    The table keeps to that version even if a later one is put in its place while it is read.
+    """
+    path = current_path(spark, root, zone, name)
     try:
         table = spark.read.parquet(path)
     except AnalysisException as error:
@@ -38,20 +62,46 @@ def read_zone(spark: SparkSession, root: str, zone: str, name: str = "",
 
 
 def write_zone(df: DataFrame, root: str, zone: str, name: str = "", partition_by: Sequence[str] = ()) -> str:
-    """Replace a file, or only the partitions present in ``df``. The commit publishes all files at once."""
+    """Replace a table, or only the partitions present in ``df``; returns the folder that holds the rows.
+
+    A whole table is written as a new version beside the old one. Then one row is appended to the log of versions, as one small
+    file whose commit is the moment of the swap. A write that fails leaves no row, so the old version stays in force.
+    Partitions are staged by the job and put in place by its commit; months are replaced one by one.
+    """
     path = zone_path(root, zone, name)
-    writer = df.write.mode("overwrite").option("compression", "snappy")
     if partition_by:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
-    writer.parquet(path)
-    return path
+        (df.write.mode("overwrite").option("compression", "snappy").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by).parquet(path))
+        return path
+    version = f"v-{time.time_ns()}-{uuid.uuid4().hex}"
+    df.write.option("compression", "snappy").parquet(f"{path}/{version}")
+    pointer = df.sparkSession.createDataFrame([(zone, name, version, time.time_ns())], _POINTER_TYPE)
+    pointer.coalesce(1).write.mode("append").parquet(zone_path(root, "metadata", "versions"))
+    return f"{path}/{version}"
+
+
+def drop_old_versions(spark: SparkSession, root: str, zone: str, name: str) -> int:
+    """Delete the versions of a table that are not in force, unfinished ones too; returns how many.
+
+    To be run while nobody writes the table or reads an old version of it.
+    """
+    path, current = zone_path(root, zone, name), current_path(spark, root, zone, name)
+    if current == path:
+        return 0
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = hadoop_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = [entry.getPath() for entry in files.listStatus(hadoop_path(path))
+           if entry.isDirectory() and re.match(_VERSION + "$", entry.getPath().getName())
+           and entry.getPath().getName() != current.rsplit("/", 1)[1]]
+    return sum(files.delete(folder, True) for folder in old)
 
 
 def file_table(spark: SparkSession, root: str, zone: str, name: str = "") -> DataFrame:
     """One row per data file directly in a zone; contents are not read.
 
-    A monthly file is a single Parquet file or a folder of part files. Its ``filename`` is its own name,
-    without a ``key=`` prefix left by a partitioned write. Hidden, temporary and nested files are left out.
+    A monthly file is a single Parquet file or a folder of part files, of which a replaced one holds versions: only the files of the
+    version in force are listed. Its ``filename`` is its own name, without a ``key=`` prefix left by a partitioned write.
+    Hidden, temporary and nested files are left out.
     """
     path = zone_path(root, zone, name)
     try:
@@ -59,12 +109,22 @@ def file_table(spark: SparkSession, root: str, zone: str, name: str = "") -> Dat
     except AnalysisException:
         return spark.createDataFrame([], "source_path string, data_path string, filename string, length bigint")
     below = re.escape("/" + re.sub(r"^[a-z0-9]+:/+[^/]*", "", path).strip("/") + "/")
-    whole = rf"^(.*{below}(?:[^/=]+=)?([^/._][^/]*\.parquet))(?:/[^/._][^/]*)?$"
+    whole = rf"^(.*{below}(?:[^/=]+=)?([^/._][^/]*\.parquet)(?:/({_VERSION})(?=/))?)(?:/[^/._][^/]*)?$"
     source = F.col("_metadata.file_path")
     plain = F.url_decode(F.replace(source, F.lit("+"), F.lit("%2B")))  # the metadata encode blanks and the like
-    return found.select(
+    files = found.select(
         source.alias("source_path"), F.regexp_extract(plain, whole, 1).alias("data_path"),
-        F.regexp_extract(plain, whole, 2).alias("filename"), "length").filter("filename <> ''")
+        F.regexp_extract(plain, whole, 2).alias("filename"), F.regexp_extract(plain, whole, 3).alias("_version"),
+        "length").filter("filename <> ''")
+    pointers = _pointers(spark, root)
+    if pointers is None:
+        return files.filter("_version = ''").drop("_version")
+    prefix = f"{name}/" if name else ""
+    own = pointers.filter((F.col("zone") == zone) & F.col("name").startswith(prefix)).select(
+        F.substring("name", len(prefix) + 1, 1 << 20).alias("filename"), F.col("version").alias("_current"))
+    chosen = files.join(broadcast_if_small(own), "filename", "left")
+    return chosen.filter(F.col("_version") == F.coalesce("_current", F.lit(""))).select(
+        "source_path", "data_path", "filename", "length")
 
 
 def list_zone(spark: SparkSession, root: str, zone: str, name: str = "") -> DataFrame:

@@ -16,11 +16,12 @@ from meterflow.models.registry import champion_version, next_version, read_runs,
 from meterflow.models.training import (
     load_model, permutation_importance, predict, save_model, shuffled_place, train_model, tree_importance,
 )
-from meterflow.plans.etl import etl_job
+from meterflow.plans.etl import etl_job, feature_files
 from meterflow.plans.score import score_job
 from meterflow.plans.train import load_history, train_job
 from meterflow.sources import manifest as mf
-from meterflow.sources.zones import read_json, zone_path
+from meterflow.session import materialise
+from meterflow.sources.zones import MONTH_KEYS, read_json, write_zone, zone_path
 
 SMALL = ModelSettings(algorithm="forest", trees=5, max_depth=5, subsample_rows=None)
 
@@ -277,3 +278,54 @@ def test_etl_marks_an_empty_file_below_a_path_with_blanks(spark, tmp_path):
     events = mf.read_events(spark, str(root))
     assert mf.file_status(events, "green_tripdata_2026-03.parquet", "green") == "FAILED"
     assert mf.file_status(events, "green_tripdata_2026-02.parquet", "green") == "PROCESSED"
+
+
+def test_etl_isolates_bad_files(spark, tmp_path):
+    root = str(tmp_path)
+    for number in (1, 2, 3, 4, 5, 6):
+        land(tmp_path, "green", 2026, number, rows=60)
+    raw = tmp_path / "raw"
+
+    def rewritten(number, change):
+        path = raw / f"green_tripdata_2026-{number:02d}.parquet"
+        change(pd.read_parquet(path)).to_parquet(path)
+
+    (raw / "green_tripdata_2026-02.parquet").write_bytes(b"no Parquet at all" * 20)
+    rewritten(3, lambda df: df.drop(columns="trip_distance"))
+    rewritten(4, lambda df: df.assign(VendorID=df["VendorID"].astype("Int64").where(df.index % 3 > 0)))
+    whole = (raw / "green_tripdata_2026-05.parquet").read_bytes()
+    # a sound footer over damaged pages
+    (raw / "green_tripdata_2026-05.parquet").write_bytes(whole[:4] + b"\xff" * 600 + whole[604:])
+    result = etl_job(spark, root, "green", stop_on_failure=False)
+    assert result.processed == [f"green_tripdata_2026-{m:02d}.parquet" for m in (1, 6)]
+    states = {r.filename[-10:-8]: r for r in mf.file_states(mf.read_events(spark, root)).filter("stage = 'ingestion'").collect()}
+    assert {m: r.status for m, r in states.items()} == {"01": "PROCESSED", "06": "PROCESSED", **{f"0{m}": "FAILED" for m in (2, 3, 4, 5)}}
+    assert states["02"].error == "the file cannot be read" == states["05"].error and "100.00% missing" in states["03"].error
+    assert states["04"].error == "20 clean trips lack a vendor or zone"
+    published = spark.read.parquet(zone_path(root, "features")).groupBy("month").count().collect()
+    assert {r.month: r["count"] for r in published} == {1: 60, 6: 60}
+    land(tmp_path, "green", 2026, 2, rows=60)
+    assert etl_job(spark, root, "green", stop_on_failure=False).processed == ["green_tripdata_2026-02.parquet"]
+
+
+def test_a_month_with_gaps_never_shows_among_the_features(spark, tmp_path):
+    root = str(tmp_path)
+    for number in (1, 2, 3):
+        land(tmp_path, "yellow", 2026, number, rows=60)
+    etl_job(spark, root)
+    processed = materialise(spark.read.parquet(zone_path(root, "processed")), "processed")
+    hollow = processed.filter("month = 2").withColumn("DOLocationID", F.when(F.col("trip_distance") > 5, F.col("DOLocationID")))
+    write_zone(hollow.unionByName(processed.filter("month = 3").withColumn("trip_distance", F.lit(90.0))), root, "processed", partition_by=MONTH_KEYS)
+    spark.catalog.refreshByPath(zone_path(root, "processed"))
+    names = [f"yellow_tripdata_2026-{m:02d}.parquet" for m in (1, 2, 3)]
+
+    def old_months():
+        return sorted(path for path in spark.read.parquet(zone_path(root, "features")).inputFiles() if "/month=1/" not in path)
+
+    before = old_months()
+    result = feature_files(spark, root, names)
+    assert result.processed == names[:1] and result.failed == names[1:]
+    errors = {r.filename: r.error for r in mf.read_events(spark, root).filter("stage = 'features' AND status = 'FAILED'").collect()}
+    assert errors == {names[1]: f"{names[1]} lacks DOLocationID, PU_DO_pair", names[2]: "no trip is usable for features"}
+    # what was published of it before is untouched
+    assert len(before) == 2 and old_months() == before

@@ -8,6 +8,7 @@ from frames import table, valid_trips
 from meterflow.errors import DataValidationError
 from meterflow.session import broadcast_if_small
 from meterflow.sources import manifest as mf
+from meterflow.sources.isolation import isolate
 from meterflow.sources import planning as pl
 from meterflow.sources import zones as zn
 
@@ -114,6 +115,47 @@ def test_round_trip_projection_and_replacement(spark, tmp_path):
         zn.read_zone(spark, root, "elsewhere", "x.parquet")
 
 
+def test_a_replaced_table_swaps_at_once_or_not_at_all(spark, tmp_path):
+    root, name, df = str(tmp_path), "yellow_tripdata_2026-01.parquet", table(spark, valid_trips())
+    first = zn.write_zone(df, root, "raw", name)
+    assert zn.current_path(spark, root, "raw", name) == first
+    reader = zn.read_zone(spark, root, "raw", name)
+    broken = df.withColumn("VendorID", F.when(F.col("VendorID") == 2, F.raise_error(F.lit("stop")).cast("bigint")).otherwise(F.col("VendorID")))
+    with pytest.raises(Exception, match="stop"):
+        zn.write_zone(broken, root, "raw", name)
+    assert zn.read_zone(spark, root, "raw", name).count() == 2
+    assert [r.length for r in zn.list_zone(spark, root, "raw").collect()] == [zn.file_table(spark, root, "raw").agg(F.sum("length")).first()[0]]
+    second = zn.write_zone(df.limit(1), root, "raw", name)
+    # who began with the old version goes on with it, who comes now meets the new one
+    assert reader.count() == 2 and zn.read_zone(spark, root, "raw", name).count() == 1
+    listed = zn.file_table(spark, root, "raw").collect()
+    assert {r.filename for r in listed} == {name} and {r.data_path.split("/raw/")[1] for r in listed} == {second.split("/raw/")[1]}
+    assert zn.read_monthly_files(spark, [listed[0].data_path]).count() == 1
+    assert zn.drop_old_versions(spark, root, "raw", name) == 2 and zn.drop_old_versions(spark, root, "raw", "other") == 0
+    assert zn.read_zone(spark, root, "raw", name).count() == 1
+    # a folder that was never replaced through the library is read as it lies there
+    df.write.parquet(zn.zone_path(root, "raw", "green_tripdata_2026-01.parquet"))
+    assert zn.read_zone(spark, root, "raw", "green_tripdata_2026-01.parquet").count() == 2
+    assert zn.list_zone(spark, root, "raw").count() == 2
+
+
+def test_isolation_finds_the_bad_names_and_runs_the_rest(spark):
+    tried = []
+
+    def attempt(group):
+        tried.append(len(group))
+        if any(name in ("c", "h") for name in group):
+            raise DataValidationError(f"bad: {[n for n in group if n in 'ch']}")
+        return sorted(group)
+
+    done, broken = isolate("abcdefghij", attempt)
+    assert sorted(n for group in done for n in group) == list("abdefgij") and set(broken) == {"c", "h"} and "['c']" in broken["c"]
+    assert tried[0] == 10 and len(tried) < 16
+    assert isolate([], attempt) == ([], {}) and len(isolate("abd", attempt)[0]) == 1
+    with pytest.raises(RuntimeError):  # no fault of a file
+        isolate("a", lambda group: (_ for _ in ()).throw(RuntimeError("cluster")))
+
+
 def test_listing_skips_hidden_temporary_and_nested_files(spark, tmp_path):
     raw = tmp_path / "raw"
     (raw / "nested").mkdir(parents=True)

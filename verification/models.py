@@ -143,6 +143,52 @@ def etl_states(spark, sf_dir):
                          F.coalesce("report.cleaned_rows", F.lit(-1)).alias("cleaned_rows"))
 
 
+# months whose files are damaged before the run, and how
+_GARBLED, _NARROW, _KEYLESS = ("1995-03", "1997-08"), ("1996-05",), ("1994-07", "1996-11")
+
+
+def run_damaged_etl(spark, sf_dir):
+    root = scratch_path(spark, "etl")
+    month = F.date_format("pickup_datetime", "yyyy-MM")
+    trips = fx.trips_hist(spark, sf_dir).withColumn("filename", monthly_name(F.col("dataset"), F.col("pickup_datetime")))
+    trips = materialise(trips.withColumn(
+        "VendorID", F.when(month.isin(*_KEYLESS) & (F.col("trip_id") % 3 == 0), None).otherwise(F.col("VendorID"))), "landed")
+    sound = trips.filter(~month.isin(*_GARBLED, *_NARROW)).drop("dataset")
+    write_zone(sound.hint("rebalance", "filename"), root, "raw", partition_by=["filename"])
+    narrow = trips.filter(month.isin(*_NARROW)).drop("dataset", "trip_distance")
+    narrow.write.mode("append").partitionBy("filename").parquet(zone_path(root, "raw"))
+    for row in trips.filter(month.isin(*_GARBLED)).select("filename").distinct().collect():  # a few names
+        text = trips.filter(F.col("filename") == row.filename).select(F.to_json(F.struct("*")))
+        text.write.text(f"{zone_path(root, 'raw')}/{row.filename}")
+    for dataset in ("yellow", "green"):
+        etl_job(spark, root, dataset, limits=CleaningLimits(max_loss_pct=100.0), stop_on_failure=False)
+    return root
+
+
+def _months(names):
+    return ", ".join(f"'{name}'" for name in names)
+
+
+@query("etl_bad_files", f"""WITH {TRIPS_HIST}, {flagged('trips_hist', 'pickup_datetime', 'dropoff_datetime')},
+ named AS (SELECT *, strftime(pickup_datetime, '%Y-%m') AS m FROM flagged),
+ files AS (SELECT dataset, m, dataset || '_tripdata_' || m || '.parquet' AS filename, count(*) FILTER ({KEPT}) AS kept,
+  count(*) FILTER ({KEPT} AND trip_id % 3 = 0 AND m IN ({_months(_KEYLESS)})) AS keyless FROM named GROUP BY ALL),
+ told AS (SELECT *, CASE WHEN m IN ({_months(_GARBLED)}) THEN 'the file cannot be read'
+  WHEN m IN ({_months(_NARROW)}) THEN 'a required column is 100.00% missing, more than 50.0%'
+  WHEN keyless > 0 THEN keyless || ' clean trips lack a vendor or zone' ELSE '' END AS message FROM files)
+ SELECT dataset, filename, CASE WHEN message = '' THEN 'PROCESSED' ELSE 'FAILED' END AS status, message,
+ CASE WHEN message = '' THEN kept ELSE 0 END AS published FROM told""")
+def etl_bad_files(spark, sf_dir):
+    """Files that are no Parquet, lack a column or lack vendors fail with a reason each; the other months are published."""
+    root = run_damaged_etl(spark, sf_dir)
+    states = mf.file_states(mf.read_events(spark, root)).filter("stage = 'ingestion'")
+    name = F.format_string("%s_tripdata_%04d-%02d.parquet", "dataset", "year", "month")
+    rows = spark.read.parquet(zone_path(root, "processed")).groupBy("dataset", "year", "month").agg(F.count(F.lit(1)).alias("published"))
+    return states.join(rows.select(name.alias("filename"), "published"), "filename", "left").select(
+        "dataset", "filename", "status", F.coalesce("error", F.lit("")).alias("message"),
+        F.coalesce("published", F.lit(0)).cast("bigint").alias("published"))
+
+
 @query("etl_features", f"""{_ETL} SELECT CASE WHEN trip_id IS NULL THEN '' ELSE 'features' END AS zone, count(*) AS rows,
  round(sum(trip_duration_minutes), 3) AS minutes, count(DISTINCT PU_DO_pair) AS pairs FROM featured GROUP BY ALL""")
 def etl_features(spark, sf_dir):
