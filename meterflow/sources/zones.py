@@ -152,8 +152,8 @@ def monthly_name(dataset: Column, month_start: Column) -> Column:
 
 def read_trip_file(spark: SparkSession, path: str, clean: bool = False,
                    limits: CleaningLimits = CleaningLimits()) -> DataFrame:
-    """One trip file, either strictly validated or cleaned and audited."""
-    if not path.lower().endswith(".parquet"):
+    """One trip file, or one version of it, either strictly validated or cleaned and audited."""
+    if not re.search(rf"\.parquet(/{_VERSION})?$", path.lower()):
         raise DataValidationError(f"expected a Parquet file: {path}")
     try:
         trips = spark.read.parquet(path)
