@@ -61,7 +61,7 @@ def targets(blocks: DataFrame) -> DataFrame:
 
 
 def drawn_blocks(blocks: DataFrame, goals: DataFrame) -> DataFrame:
-    """source, rank, block, passes (whole passes), place (in the permuted list), extra (drawn once more), n_blocks."""
+    """source, rank, block, source_size, target, passes (whole passes), place (in the permuted list), extra (drawn once more), n_blocks."""
     joined = blocks.join(goals, blocks["source"].eqNullSafe(goals["source"])).drop(goals["source"])
     passes = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(MOST))).otherwise(F.lit(1))
     own = Window.partitionBy("rank")
@@ -76,8 +76,8 @@ def drawn_blocks(blocks: DataFrame, goals: DataFrame) -> DataFrame:
     run = run.withColumn("fills", ~F.col("inside") & (F.row_number().over(best) == 1) & (F.col("miss") < F.col("gap")))
     run = run.withColumn("extra", F.col("inside") | F.col("fills"))
     placed = own.orderBy(F.col("extra").desc(), chance(F.col("rank"), F.col("block"), F.lit(1)), "block")
-    return run.select("source", "rank", "block", "passes", "extra", (F.row_number().over(placed) - 1).alias("place"),
-                      F.count(F.lit(1)).over(own).alias("n_blocks"))
+    return run.select("source", "rank", "block", "source_size", "target", "passes", "extra",
+                      (F.row_number().over(placed) - 1).alias("place"), F.count(F.lit(1)).over(own).alias("n_blocks"))
 
 
 def ln_factorial(n: Column) -> Column:
@@ -89,18 +89,25 @@ def ln_factorial(n: Column) -> Column:
 
 
 def hypergeometric(drawn: Column, own: Column, others: Column, u: Column) -> Column:
-    """How many of ``drawn`` balls are among the ``own`` of ``own + others``; by inversion of ``u``."""
-
-    def ways(n: Column, k: Column) -> Column:
-        return ln_factorial(n) - ln_factorial(k) - ln_factorial(n - k)
+    """How many of ``drawn`` balls are among the ``own`` of ``own + others``; by inversion of ``u``.
 
+    Only the least number's probability needs factorials, and each further one follows from the one before it, so
+    that the expression stays small: the planner copies it into every plan of the tree.
+    """
     low, high = F.greatest(F.lit(0).cast("long"), drawn - others), F.least(drawn, own)
-    every = ways(own + others, drawn)
+    factors = [(1.0, own), (1.0, others), (1.0, drawn), (1.0, own + others - drawn), (-1.0, own + others),
+               (-1.0, low), (-1.0, own - low), (-1.0, drawn - low), (-1.0, others - drawn + low)]
+    first = F.aggregate(F.array(*[F.struct(F.lit(sign).alias("sign"), n.alias("n")) for sign, n in factors]), F.lit(0.0),
+                        lambda a, x: a + x["sign"] * ln_factorial(x["n"]))
+
+    def more(k: Column) -> Column:
+        return F.log((own - k) * (drawn - k) / ((k + 1) * (others - drawn + k + 1)))
+
+    # past the last number the logarithm is null, and nothing reads it
     found = F.aggregate(
-        F.sequence(low, high), F.struct(F.lit(0.0).alias("mass"), low.alias("k"), F.lit(False).alias("over")),
-        lambda a, k: F.when(a["over"], a).otherwise(F.struct(
-            (a["mass"] + F.exp(ways(own, k) + ways(others, drawn - k) - every)).alias("mass"), k.alias("k"),
-            (a["mass"] + F.exp(ways(own, k) + ways(others, drawn - k) - every) >= u).alias("over"))))
+        F.sequence(low, high), F.struct(F.lit(0.0).alias("mass"), low.alias("k"), first.alias("ln")),
+        lambda a, k: F.when((a["mass"] >= u) & (k > low), a).otherwise(F.struct(
+            (a["mass"] + F.exp(a["ln"])).alias("mass"), k.alias("k"), (a["ln"] + more(k)).alias("ln"))))
     return found["k"]
 
 
@@ -132,19 +139,19 @@ def shard_quotas(draws: DataFrame, depth: int) -> DataFrame:
 def plan(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
     """source, block, source_size, target and draws: an array of (number, shard), empty for a block left out."""
     blocks = written(rows.groupBy("source", "block").agg(F.sum("size").alias("words")), "mix-blocks")
-    goals = targets(blocks)
-    listed = drawn_blocks(blocks, goals)
+    # what follows reads the list three times, and written plans stay small on the driver
+    listed = written(drawn_blocks(blocks, targets(blocks)), "mix-list")
     n = F.col("passes") + F.col("extra").cast("int")
     draws = listed.withColumn("number", F.explode(F.sequence(F.lit(0), n))).filter(F.col("number") < n)
     draws = draws.withColumn("at", F.col("number") * F.col("n_blocks") + F.col("place"))
-    quotas = shard_quotas(draws.groupBy("rank").agg(F.count(F.lit(1)).alias("quota")), depth)
+    quotas = written(shard_quotas(draws.groupBy("rank").agg(F.count(F.lit(1)).alias("quota")), depth), "mix-quotas")
     # a draw belongs to the last shard of its source that begins at or before it
     begins = quotas.filter("n > 0").groupBy("rank").agg(F.array_sort(F.collect_list(F.struct("first", "shard"))).alias("shards"))
     shard = F.element_at(F.filter("shards", lambda x: x["first"] <= F.col("at")), -1)["shard"]
     dealt = draws.join(begins, "rank").withColumn("shard", shard).groupBy("rank", "block").agg(
         F.array_sort(F.collect_list(F.struct("number", "shard"))).alias("draws"))
     none = F.expr("CAST(array() AS array<struct<number:int,shard:bigint>>)")
-    cells = listed.select("source", "rank", "block").join(goals.drop("source"), "rank").join(dealt, ["rank", "block"], "left")
+    cells = listed.select("source", "rank", "block", "source_size", "target").join(dealt, ["rank", "block"], "left")
     return written(cells.select("source", "block", "source_size", "target", F.coalesce("draws", none).alias("draws")), "mix-plan")
 
 

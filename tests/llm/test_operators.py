@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -168,6 +169,26 @@ def test_contexts_of_a_line_just_below_the_length_do_not_meet_in_one_sort(spark,
     assert seen and max(seen) <= repeats.SORTED_AT_ONCE
 
 
+def test_hypergeometric_draws_invert_exactly_in_a_small_expression(spark):
+    rng = random.Random(3)
+    cases = [(0, 0, 0, 0.5), (5, 5, 0, 0.9), (5, 0, 9, 0.1), (3, 7, 2, 0.0), (1500, 4000, 20, 0.7), (4096, 4096, 4096, 0.999999)]
+    for _ in range(60):
+        own, others = rng.randint(0, 300), rng.randint(0, 300)
+        cases.append((rng.randint(0, own + others), own, others, rng.random()))
+    k = mixing.hypergeometric(F.col("drawn"), F.col("own"), F.col("others"), F.col("u"))
+    assert len(str(k)) < 4_000  # every plan of the splitting tree holds four of it
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, drawn long, own long, others long, u double")
+    for i, got in df.select("i", k.alias("k")).collect():
+        drawn, own, others, u = cases[i]
+        every, mass, want = math.comb(own + others, drawn), 0, min(drawn, own)
+        for n in range(max(0, drawn - others), want + 1):
+            mass += math.comb(own, n) * math.comb(others, drawn - n)
+            if mass / every >= u:
+                want = n
+                break
+        assert got == want, cases[i]
+
+
 def test_mixing_comes_near_its_targets(spark):
     df = documents(spark, 3, 400)
     rows = mixing.planned(df).collect()
