@@ -2,11 +2,13 @@
 
 Documents with the same shingle set form a class, and only its least id goes on. Classes that agree in all
 ``ROWS`` values of one of ``BANDS`` bands share a bucket; at similarity 0.85 a pair misses all buckets with
-probability below 1e-6. No bucket is paired out: in rounds, its least open member (then 4, 16, ... members) is
-compared with all others, linked ones leave the bucket and the rest go on, so copies of one text cost one
-comparison each. By the
-triangle inequality of the Jaccard distance, a member that left may still link with one that stayed only if the
-latter is within twice the distance of the first; those few are compared afterwards, across components.
+probability below 1e-6. No bucket is paired out: in rounds, one open member (later 4, 16, ... members), the
+leader, is compared with all others, and linked ones leave the bucket, so copies of one text cost one
+comparison each. The leader is the member whose buckets hold most others, as the text that all were copied from. Those that stay after the first round are filed anew by what sets them apart from their leader: two sets link only if
+their differences from a third one, which is not linked with both, have some shingles in common, and so the first
+shingles of both differences in one order (those that the leader lacks first) have one. What all members share with the
+leader is no longer a reason to compare them. By the same rule a member that left is compared, afterwards and across
+components, with those that stayed.
 
 A comparison reads the signatures in batches. With a uniform prior the similarity after m of n agreements is
 Beta(m + 1, n - m + 1); as soon as it exceeds the bound with less than ``MISS`` probability the pair is dropped.
@@ -16,6 +18,7 @@ Null, empty and blank texts have no shingles and link with nothing; rows without
 component and are kept; rows that repeat an id are one node; other columns are ignored.
 """
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -35,6 +38,7 @@ _FACTORS = _RNG.integers(1, 1 << 32, BANDS * ROWS, dtype=np.uint32) | np.uint32(
 _MASKS = _RNG.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint32)
 _BAND_FACTORS = _RNG.integers(1, 1 << 63, (BANDS, ROWS), dtype=np.uint64) | np.uint64(1)
 
+FILED = "u long, v long, linked boolean, cells array<long>, wide array<long>"
 SIGNED = "doc_id long, n_shingles long, set_a long, set_b long, signature binary, bands array<long>"
 
 
@@ -123,6 +127,48 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int) -> DataFrame:
     return joined(joined(pairs, other, "v"), own, "u").select("u", "v", "tu", "tv").mapInArrow(run, "u long, v long, both long, either long")
 
 
+def _files(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """u, v, linked, and two lists of first shingles of v's difference from u.
+
+    If v links with a set that is not linked with u, their differences from u have a shingle of both ``cells`` in common.
+    If v is not linked with u, and links with a set that is, a shingle of its own ``wide`` is among the other's ``cells``;
+    ``wide`` is empty where v is too far from u for that.
+
+    Sets x, y link if their difference holds at most k (|x| + |y|) shingles, k = (100 - percent) / (100 + percent). It holds
+    |dx| + |dy| - 2 |dx & dy|, where dx, dy are the differences from u, so that
+    2 |dx & dy| >= |dx| + |dy| - k (|x| + |y|). If y is not linked with u, |dy| > k (|y| + |u|), which leaves
+    2 |dx & dy| > |dx| + k (|u| - |x|). As |y| <= 100 |x| / percent, dx holds at most (100 - percent) |x| / percent others.
+    """
+    k, others = (100 - percent) / (100 + percent), (100 - percent) / percent
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_id, last = None, np.zeros(0, np.uint64)
+        for whole in batches:
+            for batch in slices([whole], "tv"):
+                cells, wide = [], []
+                rows = zip(batch.column("u").to_pylist(), batch.column("linked").to_pylist(), shingle_sets(raw_texts(batch, "tv"), shingle))
+                for i, (u, linked, own) in enumerate(rows):
+                    if u != last_id:  # rows of one u follow one another
+                        last_id, last = u, shingle_sets(raw_texts(batch.slice(i, 1), "tu"), shingle)[0]
+                    apart = np.concatenate((np.setdiff1d(own, last, assume_unique=True), np.setdiff1d(last, own, assume_unique=True)))
+                    n, most = len(apart), int(others * len(own) + 1e-9)
+                    common = max(1, n - most, math.ceil((n + k * (len(last) - len(own))) / 2 - 1e-9))
+                    cells.append(apart[:max(0, n - common + 1)].view(np.int64))
+                    near = not linked and n * percent * 0.01 <= (1 - percent * 0.01) * (len(own) + len(last) + n) * 1.000001 + 1e-9
+                    wide.append(apart[:most + 1].view(np.int64) if near else cells[-1][:0])
+                lists = [pa.ListArray.from_arrays(np.cumsum([0, *map(len, x)]).astype(np.int32), pa.array(np.concatenate(x))) for x in (cells, wide)]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("u", "v", "linked")), *lists], ["u", "v", "linked", "cells", "wide"])
+
+    own = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("tu"))
+    other = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("tv"))
+    return joined(joined(pairs, other, "v"), own, "u").select("u", "v", "linked", "tu", "tv").mapInArrow(run, FILED)
+
+
+def _shared(members: DataFrame) -> DataFrame:
+    """bucket and the number n of its members, if there are more than one."""
+    return members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row; links need 100 * both >= percent * either."""
     signs = written(signed(docs, shingle), "signatures")
@@ -131,41 +177,63 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     classes = written(known.groupBy(*one).agg(
         F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"), F.first("bands").alias("bands")), "classes")
     members = classes.select("doc_id", F.explode("bands").alias("bucket")).distinct()
-    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    opened = first = written(joined(members, shared, "bucket"), "buckets")
+    opened = first = written(joined(members, _shared(members), "bucket"), "buckets")
+    # the members of a bucket are ordered by how many others their buckets hold
+    order = written(opened.groupBy("doc_id").agg(F.struct((-F.sum("n")).alias("less"), "doc_id").alias("place")), "places")
+    opened = joined(opened.drop("n"), order, "doc_id")
     needed = opened.select("doc_id").distinct()
     texts = written(joined(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), needed, "doc_id")
                     .dropDuplicates(["doc_id"]), "texts")
     alike = classes.select("doc_id", "signature")
-    link, near = F.col("both") * 100 >= F.col("either") * percent, 2 * percent / 100 - 1
+    link = F.col("both") * 100 >= F.col("either") * percent
 
     spark = docs.sparkSession
-    judged, led = new_folder(spark, "compared"), new_folder(spark, "bucket-pairs")
+    judged, filed = new_folder(spark, "compared"), new_folder(spark, "filed")
 
     def seen() -> DataFrame:
         return spark.read.schema("u long, v long, both long, either long").parquet(judged)
 
+    def linked() -> DataFrame:
+        return seen().filter(link).select("u", "v")
+
     def compare(pairs: DataFrame) -> None:
-        verified(plausible(pairs, alike, near), texts, shingle).write.mode("append").parquet(judged)
+        verified(plausible(pairs, alike, percent / 100), texts, shingle).write.mode("append").parquet(judged)
 
-    compare(opened.select(F.col("doc_id").alias("u"), F.col("doc_id").alias("v")).filter("u < v"))  # the table exists from here on
-    width = 1
+    none = opened.select(F.col("doc_id").alias("u"), F.col("doc_id").alias("v")).filter("u < v")
+    compare(none)  # the tables exist from here on
+    _files(none.withColumn("linked", F.lit(False)), texts, shingle, percent).write.parquet(filed)
+    rounds = 0
     while True:
-        # the least members of a bucket; Spark keeps that many per task before it shuffles
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("doc_id"))
-        leaders = written(opened.withColumn("rank", rank).filter(F.col("rank") <= width).select("bucket", F.col("doc_id").alias("u")), "leaders")
-        pairs = written(joined(opened, leaders, "bucket").filter("doc_id > u").select("bucket", "u", F.col("doc_id").alias("v")), "bucket-pairs-now")
+        width = 4 ** max(0, rounds - 1)
+        # the first members of a bucket; Spark keeps that many per task before it shuffles
+        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("place"))
+        leaders = written(opened.withColumn("rank", rank).filter(F.col("rank") <= width).select(
+            "bucket", "rank", F.col("doc_id").alias("u"), F.col("place").alias("first")), "leaders")
+        pairs = written(joined(opened, leaders, "bucket").filter("place > first").select("bucket", "rank", "u", F.col("doc_id").alias("v")), "bucket-pairs")
         if pairs.isEmpty():
             break
-        pairs.write.mode("append").parquet(led)
+        now = written(pairs.select("u", "v").distinct(), "new-pairs")
         # a pair may share buckets in several rounds, and is compared in the first
-        compare(written(joined(pairs.select("u", "v").distinct(), seen().select("u", "v"), ["u", "v"], "left_anti"), "new-pairs"))
-        gone = joined(pairs, seen().filter(link).select("u", "v"), ["u", "v"]).select("bucket", F.col("v").alias("doc_id"))
+        compare(written(joined(now, seen().select("u", "v"), ["u", "v"], "left_anti"), "unseen-pairs"))
+        flags = joined(now, linked().withColumn("linked", F.lit(True)), ["u", "v"], "left").withColumn("linked", F.coalesce("linked", F.lit(False)))
+        flags = written(flags, "flags")
+        # a leader with all linked, or with only one other, leaves nothing to compare
+        mixed_up = flags.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("linked")).alias("stay")).filter("n > 1 AND stay > 0").select("u")
+        now = written(_files(joined(flags, mixed_up, "u"), texts, shingle, percent), "filed-now")
+        now.write.mode("append").parquet(filed)
+        gone = joined(pairs, flags.filter("linked").select("u", "v"), ["u", "v"]).select("bucket", F.col("v").alias("doc_id"))
         gone = gone.union(leaders.select("bucket", F.col("u").alias("doc_id"))).distinct()
-        opened = written(joined(opened, gone, ["bucket", "doc_id"], "left_anti"), "buckets")
-        width *= 4
-    if width > 1:
-        component = _late_links(seen, spark.read.schema("bucket long, u long, v long").parquet(led), link, percent, compare)
+        if rounds:
+            opened = written(joined(opened, gone, ["bucket", "doc_id"], "left_anti"), "buckets")
+        else:  # once only: filed anew every time, a member would stand under ever more keys
+            stay = joined(pairs.select("bucket", "u", F.col("v").alias("doc_id")), gone, ["bucket", "doc_id"], "left_anti")
+            stay = joined(now.select("u", F.col("v").alias("doc_id"), "cells"), stay.select("u", "doc_id").distinct(), ["u", "doc_id"])
+            stay = stay.select(F.explode("cells").alias("cell"), "u", "doc_id").select(F.xxhash64("u", "cell").alias("bucket"), "doc_id").distinct()
+            stay = written(stay, "cells")
+            opened = written(joined(joined(stay, _shared(stay).select("bucket"), "bucket"), order, "doc_id"), "buckets")
+        rounds += 1
+    if rounds:
+        component = _late_links(linked, spark.read.schema(FILED).parquet(filed), seen, compare)
     else:
         component = first.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("component"))
     rep = joined(classes.select(*one, F.col("doc_id").alias("rep")), component.withColumnRenamed("node", "rep"), "rep", "left")
@@ -176,20 +244,18 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _late_links(seen, led: DataFrame, link, percent: int, compare) -> DataFrame:
-    """Compare members that left a bucket with near ones that stayed, where both are in different components."""
-    groups = written(components(seen().filter(link).select("u", "v")), "components")
-    score = (F.col("both") / F.col("either")).alias("score")
-    judged = joined(led, seen().select("u", "v", score, link.alias("linked")), ["u", "v"])
-    stayed = judged.filter("NOT linked").select("bucket", "u", F.col("v").alias("s"), F.col("score").alias("s_score"))
-    left = judged.filter("linked").select("bucket", "u", F.col("v").alias("l"), F.col("score").alias("l_score"))
-    reach = 1 - percent / 100 + 1e-9
+def _late_links(linked, filed: DataFrame, seen, compare) -> DataFrame:
+    """Compare members that left with those that stayed and may link with them, where both are in different components."""
+    groups = written(components(linked()), "components")
     a, b = (groups.select(F.col("node").alias(x), F.col("component").alias(f"{x}_group")) for x in ("s", "l"))
-    stayed, left = joined(stayed, a, "s", "left"), joined(left, b, "l")
-    pairs = joined(stayed, left, ["bucket", "u"]).filter(F.col("l_score") <= F.col("s_score") + reach)
+    stayed = filed.filter("NOT linked AND size(wide) > 0").select("u", F.col("v").alias("s"), F.explode("wide").alias("cell"))
+    near = stayed.select("u").distinct()  # other leaders' members need no comparison
+    left = joined(filed.filter("linked"), near, "u").select("u", F.col("v").alias("l"), F.explode("cells").alias("cell"))
+    pairs = joined(joined(stayed, a, "s", "left"), joined(left, b, "l"), ["u", "cell"])
     pairs = pairs.filter("s_group IS NULL OR s_group <> l_group").select(F.least("s", "l").alias("u"), F.greatest("s", "l").alias("v")).distinct()
-    late = written(joined(pairs, seen().select("u", "v"), ["u", "v"], "left_anti"), "late-pairs")
+    known = seen().select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    late = written(joined(pairs, known, ["u", "v"], "left_anti"), "late-pairs")
     if late.isEmpty():
         return groups
     compare(late)
-    return written(components(seen().filter(link).select("u", "v")), "components")
+    return written(components(linked()), "components")

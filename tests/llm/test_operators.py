@@ -92,6 +92,25 @@ def test_near_duplicates(spark, size, percent):
     assert near_duplicates.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_a_large_group_of_near_copies_is_not_paired_out(spark, monkeypatch):
+    rng = random.Random(11)
+    base, other = ([f"{x}{i}" for i in range(120)] for x in "wv")
+    rows = [(0, " ".join(base))]
+    for i in range(1, 300):
+        text = list(base)
+        for place in rng.sample(range(120), rng.choice([0, 1, 1, 2, 2, 3, 5, 6, 8, 10])):
+            text[place] = f"x{i}" if i % 7 else f"y{place}"  # some of them share what sets them apart
+        rows.append((i, " ".join(text + [f"z{i}"] * (i % 2))))
+    rows += [(300 + i, " ".join(base[:100] + other[:30] + [f"u{i}"] * (i % 3))) for i in range(40)]  # a second group, not linked with the first
+    rows += [(400, " ".join(base[:111] + other[:8])), (401, " ".join(base[:106] + other[:20])), (402, " ".join(base[:102] + other[:28]))]  # a chain
+    compared, plausible = [], near_duplicates.plausible
+    monkeypatch.setattr(near_duplicates, "plausible", lambda pairs, *rest: compared.append(pairs.count()) or plausible(pairs, *rest))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(df, 3, 85).collect()}
+    assert got == jaccard_groups(rows, 3, 85)
+    assert sum(compared) < 20 * len(rows), compared  # all pairs are 58,653
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(60, 16))
