@@ -133,9 +133,13 @@ def scan(docs: DataFrame) -> DataFrame:
     triggers = sorted(t for t, w in weights.items() if max(w[1:]) > w[0])
     pattern = trigger_pattern(triggers)
     found = paragraphs(docs.filter(F.lower("text").rlike(pattern))).filter(F.lower("line").rlike(pattern))
-    found = found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "paragraph", words(F.col("line")).alias("words"))
-    found = written(found, "licence-words")
-    found = written(found.select("row", "doc_id", "paragraph", runs(F.col("words")).alias("runs"), runs(F.col("words"), 2, 2).alias("pairs")), "licence-runs")
+    # of all runs of a paragraph's words, only those with a weight or in a template are written; a lambda's words are found once
+    taught = sorted({p for own in TEMPLATES.values() for t in own for p in _pairs(t)})
+    known, some = (F.array(*map(F.lit, x)).cast("array<string>") for x in (sorted(weights), taught))
+    kept = F.transform(F.array(words(F.col("line"))), lambda own: F.struct(
+        F.array_intersect(runs(own), known).alias("runs"), F.array_intersect(runs(own, 2, 2), some).alias("pairs")))
+    found = written(found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "paragraph", kept[0].alias("kept")), "licence-runs")
+    found = found.select("row", "doc_id", "paragraph", "kept.runs", "kept.pairs")
     weighed = spark.range(1).select(F.explode(F.array(*[
         F.struct(F.lit(term).alias("run"), F.array(*map(F.lit, w)).alias("w")) for term, w in sorted(weights.items())])).alias("x")).select("x.*")
     # the weights are one row per run that the penalty has left, a number set by the training rows

@@ -344,3 +344,16 @@ def test_licence_triggers_between_underscores(spark):
     df = spark.createDataFrame([(x,) for x in lines], "line string")
     pattern = licenses.trigger_pattern(["mit", "mit license"])
     assert [r[0] for r in df.select(F.lower("line").rlike(pattern)).collect()] == [True, True, True, False, False]
+
+
+def test_licences_write_only_runs_that_count(spark, monkeypatch):
+    plain = " ".join(f"word{i}" for i in range(3000))
+    texts = [plain, plain + " Released under the MIT License. " + plain, "nothing\nReleased under the MIT License."]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tables, written = {}, licenses.written
+    monkeypatch.setattr(licenses, "written", lambda df, label: tables.setdefault(label, []).append(out := written(df, label)) or out)
+    got = {(r.doc_id, r.paragraph): r.family for r in licenses.scan(docs).collect()}
+    assert got[2, 1] == "mit" and (0, 0) not in got
+    for label, each in tables.items():
+        if label not in ("licence-sample", "licence-training"):
+            assert all(len(str(r)) < 2000 for df in each for r in df.collect()), label
