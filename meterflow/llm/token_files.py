@@ -10,17 +10,21 @@ Null text counts as empty and gives the end id alone; documents without id come
 ordered by their checksum; other columns of the input are ignored.
 """
 
+import json
+import re
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterflow.llm.tables import new_folder, ragged, raw_texts, slices, written
+from meterflow.llm.tables import new_folder, ragged, slices, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -28,7 +32,10 @@ SCALE_BITS = 20
 LANES = 512
 STEPS = 128
 BLOCK_TOKENS = 1 << 17
-CACHED_WORDS = 400_000
+CACHED_WORDS, CACHED_PIECES = 100_000, 300_000
+PIECES_AT_ONCE = 1000
+#: How the tokenizer splits words.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LOWEST = np.uint64(1 << 31)
 WORD = np.uint64(32)
 
@@ -41,54 +48,140 @@ BLOCK_SCHEMA = pa.schema([
     ("states", pa.list_(pa.binary())), ("places", pa.list_(pa.int64())), ("segment_crc32", pa.list_(pa.int64()))])
 
 
+class _Numbers(dict):
+    """Gives every new key the next number and lists it in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, key: bytes) -> int:
+        self[key] = n = len(self)
+        self.new.append(key)
+        return n
+
+    def of(self, keys: pa.Array) -> np.ndarray:
+        distinct = keys.dictionary_encode()
+        own = distinct.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        return np.fromiter(map(self.__getitem__, own), np.int64, len(own))[distinct.indices.to_numpy()]
+
+
+class _Runs:
+    """Runs of ids by their numbers."""
+
+    def __init__(self):
+        self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.ids, self.known, self.used = np.zeros(4096, np.uint16), 0, 0
+
+    def add(self, flat: np.ndarray, lengths: np.ndarray, order: np.ndarray) -> None:
+        """The next runs, in a row; order: which of the next numbers each of them has."""
+        known, used = self.known + len(lengths), self.used + len(flat)
+        while len(self.starts) < known:
+            self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
+        while len(self.ids) < used:
+            self.ids = np.resize(self.ids, 2 * len(self.ids))
+        self.starts[self.known + order] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[self.known + order] = lengths
+        self.ids[self.used:used] = flat
+        self.known, self.used = known, used
+
+    def of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the runs ``at`` in a row, and the number of ids of each."""
+        lengths = self.lengths[at]
+        return self.ids[ragged(self.starts[at], lengths)], lengths
+
+
 class WordCoder:
-    """Ids of white-space separated words, each distinct word tokenised once.
+    """Ids of white-space separated words, each distinct word looked up and each distinct piece tokenised once.
 
-    The tokenizer drops white space and never joins across it, so a text has the ids of its words in a row.
-    ASCII lower-casing first is what its normaliser does anyway. The cache is emptied when full.
+    The tokenizer drops white space and never joins across it, so a text has the ids of its words in a row. Nor does it join
+    across the pieces that ``SPLIT`` makes of a word. Pieces are tokenised many at a time, with blanks between them, and told
+    apart by the tokens that end one; those of ASCII alone need no normaliser. A word that holds other than ASCII and
+    letters is tokenised by itself, as is every word where the tokenizer splits in another way. ASCII lower-casing first is
+    what its normaliser does anyway, save in texts that hold a special token. A cache is emptied when full.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
+        about = json.loads(self.tokenizer.to_str())
+        self.special = "|".join(re.escape(x["content"]) for x in about["added_tokens"])
+        last = about["model"].get("end_of_word_suffix")
+        split, *then = (about["pre_tokenizer"] or {}).get("pretokenizers", [None])
+        self.splits = bool(last) and split == {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}
+        if self.splits:
+            self.ends = np.zeros(1 << 16, bool)  # tokens that end a piece
+            self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(last)]] = True
+            blanks = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *then]}
+            self.plain = Tokenizer.from_str(json.dumps(about | {"normalizer": None, "pre_tokenizer": blanks, "added_tokens": []}))
+        self.words, self.word_ids = _Numbers(), _Runs()
+        self.pieces, self.piece_ids = _Numbers(), _Runs()
 
     def clear(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
-        self.ids, self.used = np.zeros(4096, np.uint16), 0
+        if len(self.words) > CACHED_WORDS:
+            self.words, self.word_ids = _Numbers(), _Runs()
+        if len(self.pieces) > CACHED_PIECES:
+            self.pieces, self.piece_ids = _Numbers(), _Runs()
 
-    def add(self, words: list[bytes]) -> None:
-        coded = self.tokenizer.encode_batch_fast([w.decode(errors="replace") for w in words], add_special_tokens=False)
-        ids = [x.ids for x in coded]
+    def _tokenised(self, texts: list[str], tokenizer=None) -> tuple[np.ndarray, np.ndarray]:
+        ids = [x.ids for x in (tokenizer or self.tokenizer).encode_batch_fast(texts, add_special_tokens=False)]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint16, int(lengths.sum()))
-        known = len(self.index)
-        while len(self.starts) < known + len(words):
-            self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
-        while len(self.ids) < self.used + len(flat):
-            self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.starts[known:known + len(words)] = self.used + np.cumsum(lengths) - lengths
-        self.lengths[known:known + len(words)] = lengths
-        self.ids[self.used:self.used + len(flat)] = flat
-        self.used += len(flat)
-        self.index.update(zip(words, range(known, known + len(words))))
+        return np.fromiter(chain.from_iterable(ids), np.uint16, int(lengths.sum())), lengths
+
+    def _joined(self, pieces: list[str], tokenizer) -> tuple[np.ndarray, np.ndarray]:
+        """The same for pieces of letters or of other ASCII."""
+        ids, _ = self._tokenised([" ".join(pieces)], tokenizer)
+        last = np.flatnonzero(self.ends[ids])
+        if len(last) != len(pieces) or last[-1] != len(ids) - 1:  # the tokenizer takes other signs for letters
+            return self._tokenised(pieces)
+        return ids, np.diff(last, prepend=-1)
+
+    def _whole(self, words: pa.Array) -> np.ndarray:
+        """Which words are to be tokenised by themselves."""
+        if not self.splits:
+            return np.ones(len(words), bool)
+        whole = pc.invert(pc.match_substring_regex(words, r"^(?:[[:ascii:]]|\p{L})*$"))
+        if self.special:
+            whole = pc.or_(whole, pc.match_substring_regex(words, self.special))
+        return whole.to_numpy(zero_copy_only=False)
 
-    def code(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def add(self, words: list[bytes]) -> None:
+        texts = pa.array(words, pa.binary()).cast(pa.string(), safe=False)
+        whole = self._whole(texts)
+        plain = np.flatnonzero(~whole)
+        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(texts.take(pa.array(plain))), SPLIT, r"\0 "))
+        pieces = lists.flatten()
+        at = self.pieces.of(pieces)
+        if new := self.pieces.new:
+            by_kind = np.fromiter((1 - x.isascii() if x else 2 for x in new), np.int64, len(new))
+            order, coded = np.argsort(by_kind, kind="stable"), [self._tokenised([""])] * int((by_kind == 2).sum())
+            for kind, tokenizer in ((1, self.tokenizer), (0, self.plain)):
+                own = [new[i].decode() for i in np.flatnonzero(by_kind == kind)]
+                coded[:0] = [self._joined(own[i:i + PIECES_AT_ONCE], tokenizer) for i in range(0, len(own), PIECES_AT_ONCE)]
+            self.piece_ids.add(*map(np.concatenate, zip(*coded)), order)
+            self.pieces.new = []
+        ids, lengths = self.piece_ids.of(at)
+        counts = np.diff(np.concatenate(([0], np.cumsum(lengths)))[lists.offsets.to_numpy()])
+        lone = np.flatnonzero(whole)
+        lone_ids, lone_counts = self._tokenised([words[i].decode(errors="replace") for i in lone])
+        self.word_ids.add(np.concatenate((ids, lone_ids)), np.concatenate((counts, lone_counts)), np.concatenate((plain, lone)))
+
+    def code(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in a row, and the number of ids of each text."""
-        split = [t.lower().split() for t in texts]
-        words = [w for s in split for w in s]
-        distinct = set(words)
-        if len(self.index) + len(distinct) > CACHED_WORDS:
-            self.clear()
-        if missing := sorted(distinct.difference(self.index)):
-            self.add(missing)
-        at = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-        lengths = self.lengths[at]
-        ids = self.ids[ragged(self.starts[at], lengths)]
-        ends = np.concatenate(([0], np.cumsum(lengths)))[np.cumsum([len(s) for s in split])] if split else np.zeros(0, np.int64)
-        return ids, np.diff(ends, prepend=0)
+        self.clear()
+        texts = pc.fill_null(texts, "")
+        low = pc.ascii_lower(texts)
+        if self.special:
+            low = pc.if_else(pc.match_substring_regex(low, self.special, ignore_case=True), texts, low)
+        split = pc.ascii_split_whitespace(low)
+        at = self.words.of(split.flatten())
+        if self.words.new:
+            self.add(self.words.new)
+            self.words.new = []
+        ids, lengths = self.word_ids.of(at)
+        ends = np.concatenate(([0], np.cumsum(lengths)))[split.offsets.to_numpy()]
+        return ids, np.diff(ends)
 
 
 _CODERS: dict[str, WordCoder] = {}
@@ -111,7 +204,7 @@ def encode(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID) ->
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = coder(tokenizer)
         for batch in slices(batches):
-            ids, counts = words.code(raw_texts(batch))
+            ids, counts = words.code(batch.column("text"))
             parts = [np.append(x, np.uint16(end_id)) for x in np.split(ids, np.cumsum(counts)[:-1])]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts + 1), pa.array([crc_of(x) for x in parts], pa.int64()),

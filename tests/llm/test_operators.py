@@ -357,3 +357,26 @@ def test_licences_write_only_runs_that_count(spark, monkeypatch):
     for label, each in tables.items():
         if label not in ("licence-sample", "licence-training"):
             assert all(len(str(r)) < 2000 for df in each for r in df.collect()), label
+
+
+ODD_WORDS = ["it's", "don't'll", "'sé", "abc,def", "x1y22", "ét́", "Été's", "İstanbul", "Kelvin", "한", "a b", "“quoted”", "日本語テキスト",
+             "<|endoftext|>", "x<|EndOfText|>y", "<|STARTOFTEXT|>", "²³½", "x\x00y", "\x1cz", "a̸=b", "ªº", "ſ'ſ", "'LL", "\U0001f600ok", "--", "</w>", "ǅ", "ͅα"]
+
+
+def test_word_pieces_have_the_ids_of_the_whole_text():
+    """Special tokens are matched before the text is lower-cased; a word's pieces are joined with others' and told apart again."""
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    own, draw = token_files.WordCoder(token_files.TOKENIZER), random.Random(3)
+    assert own.splits
+    texts = [*ODD_WORDS, "", None, "  ", " ".join(ODD_WORDS)]
+    texts += [" ".join("".join(draw.choices(["e", "st", "N", "'s", "'", ",", "7", "é", "́", "ß", "<|endoftext|>", " ", "-"], k=draw.randint(1, 5))) for _ in range(9)) for _ in range(300)]
+    plain = Tokenizer.from_file(token_files.TOKENIZER)
+    for _ in range(2):  # the second time from the cache
+        ids, counts = own.code(pa.array(texts, pa.string()))
+        got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
+        assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert len(own.pieces) < len(own.words)
