@@ -5,7 +5,8 @@ windows meet under one key wherever they stand. Neighbouring windows of one key
 bytes occur twice are repeated as a whole; of these and of all others under a key with different stretches one
 copy goes on. Under a key with over ``CROWD`` different stretches, such as the contexts of a frequent line, they are
 cut again by ``SEEDS`` more hashes, which parts most of them. What differs under one key is put through suffix sorting
-by linear grouping, where windows that also start elsewhere are neighbours. A stretch that holds its least gram twice
+by linear grouping, where windows that also start elsewhere are neighbours; windows whose hash occurs once among those
+sorted together cannot, and are left out. A stretch that holds its least gram twice
 may repeat itself and is always sorted. Keys with over ``SORTED_AT_ONCE`` bytes that differ, such as the contexts of a
 line just below a window's length, are not sorted in one task: their windows are counted by key and hash of all bytes.
 
@@ -133,6 +134,31 @@ def pieces(wanted: DataFrame, length: int) -> DataFrame:
     return wanted.mapInArrow(run, PIECES)
 
 
+def told_apart(texts: list[bytes], length: int) -> list[list[tuple[int, int]]]:
+    """For each text the ranges [first, last) of windows that also start elsewhere in the texts.
+
+    A window whose hash occurs once is not repeated; runs of all others are sorted, of equal runs one, so bytes decide.
+    """
+    out: list[list[tuple[int, int]]] = [[] for _ in texts]
+    data, running, starts, ends = _joined(texts)
+    n = np.maximum(0, ends - starts - length + 1)
+    at, home = ragged(starts, n), np.repeat(np.arange(len(n)), n)
+    _, which, times = np.unique(span_hash(running, at, at + length), return_inverse=True, return_counts=True)
+    often = np.flatnonzero(times[which] > 1)
+    if not len(often):
+        return out
+    edge = np.flatnonzero((np.diff(at[often]) > 1) | (np.diff(home[often]) > 0))
+    first, last = often[np.append(0, edge + 1)], often[np.append(edge, len(often) - 1)]
+    places: dict[bytes, list[tuple[int, int]]] = {}
+    for k, a, b in zip(home[first].tolist(), (at[first] - starts[home[first]]).tolist(), (at[last] - starts[home[last]] + length).tolist()):
+        places.setdefault(texts[k][a:b], []).append((k, a))
+    for run, (own, ranges) in zip(places, zip(places.values(), repeated_windows(list(places), length))):
+        whole = [(0, len(run) - length + 1)]
+        for k, a in own:
+            out[k] += [(a + x, a + y) for x, y in (whole if len(own) > 1 else ranges)]
+    return [sorted(x) for x in out]
+
+
 def sorted_repeats(some: DataFrame, length: int) -> DataFrame:
     """own_key, own_body, first, last: window ranges that occur elsewhere under the same key."""
 
@@ -143,7 +169,7 @@ def sorted_repeats(some: DataFrame, length: int) -> DataFrame:
         size = 0
 
         def flush() -> pa.RecordBatch:
-            out = [(k, b, first, last) for k, b, ranges in zip(keys, bodies, repeated_windows(texts, length)) for first, last in ranges]
+            out = [(k, b, first, last) for k, b, ranges in zip(keys, bodies, told_apart(texts, length)) for first, last in ranges]
             return pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in range(4)], ["own_key", "own_body", "first", "last"])
 
         for batch in batches:

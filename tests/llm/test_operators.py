@@ -380,3 +380,24 @@ def test_word_pieces_have_the_ids_of_the_whole_text():
         got = [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])]
         assert got == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
     assert len(own.pieces) < len(own.words)
+
+
+def test_only_windows_whose_hash_occurs_twice_are_sorted(monkeypatch):
+    draw, sorted_bytes, sort = random.Random(4), [], repeats.repeated_windows
+
+    def counted(texts, size):
+        sorted_bytes.append(sum(map(len, texts)))
+        return sort(texts, size)
+
+    monkeypatch.setattr(repeats, "repeated_windows", counted)
+    for _ in range(200):
+        base = bytes(draw.choices(b"abcdefgh", k=60))
+        texts = [bytes(draw.choices(b"ab", k=draw.randint(0, 4))) + base[a:a + draw.randint(8, 40)] + bytes(draw.choices(b"abc", k=draw.randint(0, 9)))
+                 for a in (draw.randint(0, 30) for _ in range(draw.randint(1, 6)))]
+        assert repeats.told_apart(texts, 12) == sort(texts, 12)
+    sorted_bytes.clear()
+    line, fresh = b"a line of thirty-two bytes, here", lambda: bytes(draw.choices(range(97, 123), k=100))
+    assert repeats.told_apart([fresh() + line + fresh() for _ in range(50)], 200) == [[]] * 50
+    some = fresh() + line + fresh()
+    assert repeats.told_apart([fresh() + bytes([k]) + some + bytes([k]) + fresh() for k in range(50)], 200) == [[(101, 134)]] * 50
+    assert sum(sorted_bytes) == len(some)
