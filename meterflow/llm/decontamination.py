@@ -197,7 +197,7 @@ def _block_matches(spark, docs: DataFrame, block: list[tuple[int, str]], weights
     used = [x for x in used if len(x)]
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=1 << 19):
+        for batch in slices(batches, most=1 << 17):
             feature, hashes, at = features([plain(t) for t in raw_texts(batch)])
             docs_of = batch.column("doc_id").to_pylist()
             sizes = np.diff(at)
