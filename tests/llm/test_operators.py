@@ -111,6 +111,33 @@ def test_a_large_group_of_near_copies_is_not_paired_out(spark, monkeypatch):
     assert sum(compared) < 20 * len(rows), compared  # all pairs are 58,653
 
 
+@pytest.mark.parametrize("pairs", [0, near_duplicates.PAIRS])
+def test_copies_of_one_text_that_are_no_copies_of_another_are_hardly_compared(spark, monkeypatch, pairs):
+    rng = random.Random(5)
+    base, common = [f"w{i}" for i in range(150)], [f"c{i}" for i in range(6)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 250):
+        text = list(base)
+        for place in rng.sample(range(0, 150, 5), rng.choice([1, 2, 3, 4, 5, 6, 7, 9])):
+            text[place] = rng.choice(common)  # what sets them apart is common too
+        rows.append((i, " ".join(text)))
+    far = list(base)
+    far[::15] = common[:1] * 10  # not linked with the base
+    for i in range(30):  # a crowd that stays, linked with one another
+        text = list(far)
+        text[rng.randrange(150)] = rng.choice(common)
+        rows.append((300 + i, " ".join(text[:150 - i % 3])))
+    rows.append((400, " ".join(base[:120])))  # short of the base, and linked with what is less short of it
+    rows.append((401, " ".join(base[:133])))
+    compared, plausible = [], near_duplicates.plausible
+    monkeypatch.setattr(near_duplicates, "PAIRS", pairs)
+    monkeypatch.setattr(near_duplicates, "plausible", lambda pairs, *rest: compared.append(pairs.count()) or plausible(pairs, *rest))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates.near_duplicates(df, 3, 85).collect()}
+    assert got == jaccard_groups(rows, 3, 85)
+    assert sum(compared) < 4 * len(rows), compared
+
+
 def test_vectors(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(60, 16))
