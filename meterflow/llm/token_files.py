@@ -13,8 +13,9 @@ ordered by their checksum; other columns of the input are ignored.
 import json
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ STEPS = 128
 BLOCK_TOKENS = 1 << 17
 CACHED_WORDS, CACHED_PIECES = 100_000, 300_000
 PIECES_AT_ONCE = 1000
+#: More text at once holds fewer distinct words in all.
+BYTES_AT_ONCE = 1 << 21
 #: How the tokenizer splits words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LOWEST = np.uint64(1 << 31)
@@ -48,22 +51,18 @@ BLOCK_SCHEMA = pa.schema([
     ("states", pa.list_(pa.binary())), ("places", pa.list_(pa.int64())), ("segment_crc32", pa.list_(pa.int64()))])
 
 
-class _Numbers(dict):
-    """Gives every new key the next number and lists it in ``new``."""
+class _Numbers(defaultdict):
+    """Gives every new key the next number."""
 
     def __init__(self):
-        super().__init__()
-        self.new: list[bytes] = []
+        super().__init__(count().__next__)
 
-    def __missing__(self, key: bytes) -> int:
-        self[key] = n = len(self)
-        self.new.append(key)
-        return n
-
-    def of(self, keys: pa.Array) -> np.ndarray:
-        distinct = keys.dictionary_encode()
+    def of(self, keys: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """The numbers of the keys, and the keys that are new, in the order of their numbers."""
+        distinct, before = keys.dictionary_encode(), len(self)
         own = distinct.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
-        return np.fromiter(map(self.__getitem__, own), np.int64, len(own))[distinct.indices.to_numpy()]
+        numbers = np.fromiter(map(self.__getitem__, own), np.int64, len(own))
+        return numbers[distinct.indices.to_numpy()], distinct.dictionary.filter(pa.array(numbers >= before))
 
 
 class _Runs:
@@ -146,25 +145,22 @@ class WordCoder:
             whole = pc.or_(whole, pc.match_substring_regex(words, self.special))
         return whole.to_numpy(zero_copy_only=False)
 
-    def add(self, words: list[bytes]) -> None:
-        texts = pa.array(words, pa.binary()).cast(pa.string(), safe=False)
-        whole = self._whole(texts)
+    def add(self, words: pa.Array) -> None:
+        whole = self._whole(words)
         plain = np.flatnonzero(~whole)
-        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(texts.take(pa.array(plain))), SPLIT, r"\0 "))
-        pieces = lists.flatten()
-        at = self.pieces.of(pieces)
-        if new := self.pieces.new:
-            by_kind = np.fromiter((1 - x.isascii() if x else 2 for x in new), np.int64, len(new))
+        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(words.take(pa.array(plain))), SPLIT, r"\0 "))
+        at, new = self.pieces.of(lists.flatten())
+        if len(new):
+            by_kind = np.where(pc.binary_length(new).to_numpy() == 0, 2, 1 - pc.string_is_ascii(new).to_numpy(zero_copy_only=False))
             order, coded = np.argsort(by_kind, kind="stable"), [self._tokenised([""])] * int((by_kind == 2).sum())
             for kind, tokenizer in ((1, self.tokenizer), (0, self.plain)):
-                own = [new[i].decode() for i in np.flatnonzero(by_kind == kind)]
+                own = new.take(pa.array(np.flatnonzero(by_kind == kind))).to_pylist()
                 coded[:0] = [self._joined(own[i:i + PIECES_AT_ONCE], tokenizer) for i in range(0, len(own), PIECES_AT_ONCE)]
             self.piece_ids.add(*map(np.concatenate, zip(*coded)), order)
-            self.pieces.new = []
         ids, lengths = self.piece_ids.of(at)
         counts = np.diff(np.concatenate(([0], np.cumsum(lengths)))[lists.offsets.to_numpy()])
         lone = np.flatnonzero(whole)
-        lone_ids, lone_counts = self._tokenised([words[i].decode(errors="replace") for i in lone])
+        lone_ids, lone_counts = self._tokenised([x.decode(errors="replace") for x in words.take(pa.array(lone)).cast(pa.binary()).to_pylist()])
         self.word_ids.add(np.concatenate((ids, lone_ids)), np.concatenate((counts, lone_counts)), np.concatenate((plain, lone)))
 
     def code(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -175,10 +171,9 @@ class WordCoder:
         if self.special:
             low = pc.if_else(pc.match_substring_regex(low, self.special, ignore_case=True), texts, low)
         split = pc.ascii_split_whitespace(low)
-        at = self.words.of(split.flatten())
-        if self.words.new:
-            self.add(self.words.new)
-            self.words.new = []
+        at, new = self.words.of(split.flatten())
+        if len(new):
+            self.add(new)
         ids, lengths = self.word_ids.of(at)
         ends = np.concatenate(([0], np.cumsum(lengths)))[split.offsets.to_numpy()]
         return ids, np.diff(ends)
@@ -203,7 +198,7 @@ def encode(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int = END_ID) ->
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = coder(tokenizer)
-        for batch in slices(batches):
+        for batch in slices(batches, most=BYTES_AT_ONCE):
             ids, counts = words.code(batch.column("text"))
             parts = [np.append(x, np.uint16(end_id)) for x in np.split(ids, np.cumsum(counts)[:-1])]
             yield pa.RecordBatch.from_arrays(

@@ -390,6 +390,17 @@ ODD_WORDS = ["it's", "don't'll", "'sé", "abc,def", "x1y22", "ét́", "Été's"
              "<|endoftext|>", "x<|EndOfText|>y", "<|STARTOFTEXT|>", "²³½", "x\x00y", "\x1cz", "a̸=b", "ªº", "ſ'ſ", "'LL", "\U0001f600ok", "--", "</w>", "ǅ", "ͅα"]
 
 
+def test_numbers_of_words_cost_no_python_call_each():
+    import pyarrow as pa
+
+    numbers = token_files._Numbers()
+    at, new = numbers.of(pa.array(["b", "a", "b", ""]))
+    assert at.tolist() == [0, 1, 0, 2] and new.to_pylist() == ["b", "a", ""]
+    at, new = numbers.of(pa.array(["c", "a", "c"]))
+    assert at.tolist() == [3, 1, 3] and new.to_pylist() == ["c"] and len(numbers) == 4
+    assert "__missing__" not in vars(token_files._Numbers)
+
+
 def test_word_pieces_have_the_ids_of_the_whole_text():
     """Special tokens are matched before the text is lower-cased; a word's pieces are joined with others' and told apart again."""
     import random
