@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.llm.shingles import words
-from meterflow.llm.tables import raw_texts, slices
+from meterflow.llm.tables import ragged, raw_texts, slices
 
 FEATURES = 1 << 18
 RANK, SPARE = 64, 16
@@ -33,6 +33,8 @@ BLOCK = 512
 SEGMENT = 8
 SCALES = (4, 8, 16, 32, 64)
 COSINE = 0.5
+#: Words of regions that are counted at once.
+REGION_WORDS = 1 << 18
 SHARE, LOWER_SHARE = 0.75, 0.6
 MATCH = "doc_id long, item_id long, cosine double, lcs_words int, item_words int, answer_found boolean"
 _WORD_BYTES = np.full(256, 32, np.uint8)
@@ -193,8 +195,11 @@ def _block_matches(spark, docs: DataFrame, block: list[tuple[int, str]], weights
     known[feature] = np.arange(1, len(feature) + 1)
     small = np.vstack([np.zeros((1, coordinates.shape[1]), np.float32), coordinates])
     segment = min(SEGMENT, int(scale.min()) // 2)
-    used = [known[features([plain(text.encode())])[0]] for _, text in block]
-    used = [x for x in used if len(x)]
+    lengths = np.array([len(x) for x in items])
+    used = np.zeros((len(ids), len(small)), bool)
+    for mine, (_, text) in zip(used, [x for x in block if plain(x[1].encode()).split()]):
+        mine[known[features([plain(text.encode())])[0]]] = True
+    used = np.packbits(used, axis=1, bitorder="little")
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=1 << 17):
@@ -221,24 +226,21 @@ def _block_matches(spark, docs: DataFrame, block: list[tuple[int, str]], weights
                     spoken = np.flatnonzero(length > 0)
                     window = window[spoken] / length[spoken, None]
                     near = query[own] @ window.T
-                    for j in range(len(own)):
-                        hits = np.flatnonzero(near[j] >= COSINE)
-                        if not len(hits):
+                    rows, hits = np.nonzero(near >= COSINE)
+                    whose, w = owner[own[rows]], left[spoken[hits]]
+                    lows = np.maximum(at[text[w]], begin[w] - lengths[whose])
+                    highs = np.minimum(at[text[w] + 1], begin[w] + size + lengths[whose])
+                    for i in np.flatnonzero(_enough(own_feature, used, whose, lengths[whose], lows, highs)):
+                        k, n = whose[i], len(items[whose[i]])
+                        region = hashes[lows[i]:highs[i]]
+                        both = _closest(items[k], region)
+                        if both < LOWER_SHARE * n:
                             continue
-                        k, w = owner[own[j]], left[spoken[hits]]
-                        n = len(items[k])
-                        lows = np.maximum(at[text[w]], begin[w] - n)
-                        highs = np.minimum(at[text[w] + 1], begin[w] + size + n)
-                        for i in np.flatnonzero(_enough(own_feature, used[k], len(small), n, lows, highs)):
-                            region = hashes[lows[i]:highs[i]]
-                            both = _closest(items[k], region)
-                            if both < LOWER_SHARE * n:
-                                continue
-                            key = (docs_of[text[w[i]]], ids[k], n)
-                            said = len(answers[k]) > 0 and common_subsequence(answers[k], region) == len(answers[k])
-                            if both >= SHARE * n or said:
-                                mine = (both, bool(said), float(near[j, hits[i]]))
-                                out[key] = max(out.get(key, mine), mine)
+                        key = (docs_of[text[w[i]]], ids[k], n)
+                        said = len(answers[k]) > 0 and common_subsequence(answers[k], region) == len(answers[k])
+                        if both >= SHARE * n or said:
+                            mine = (both, bool(said), float(near[rows[i], hits[i]]))
+                            out[key] = max(out.get(key, mine), mine)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in out], pa.int64()), pa.array([k[1] for k in out], pa.int64()), pa.array([v[2] for v in out.values()], pa.float64()),
                  pa.array([v[0] for v in out.values()], pa.int32()), pa.array([k[2] for k in out], pa.int32()), pa.array([v[1] for v in out.values()], pa.bool_())],
@@ -247,36 +249,52 @@ def _block_matches(spark, docs: DataFrame, block: list[tuple[int, str]], weights
     return docs.mapInArrow(search, MATCH)
 
 
-def _run(n: int) -> int:
+def _run(n):
     """How many words are compared with an item of n words."""
-    return max(n + 2, n * 5 // 4)
+    return np.maximum(n + 2, n * 5 // 4)
 
 
-def _enough(spoken: np.ndarray, used: np.ndarray, n_features: int, n: int, lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
-    """Whether a run within each region holds so many of the item's words that the common subsequence can be long enough."""
-    mine = np.zeros(n_features, np.int32)
-    mine[used] = 1
-    shared = np.zeros(len(spoken) + 1, np.int32)
-    np.cumsum(mine[spoken], out=shared[1:])
-    size = _run(n)
-    runs = np.flatnonzero(shared[size:] - shared[:-size] >= LOWER_SHARE * n)
-    within = np.searchsorted(runs, lows) < np.searchsorted(runs, highs - size, side="right")
-    return np.where(highs - lows > size, within, shared[highs] - shared[lows] >= LOWER_SHARE * n)
+def _enough(spoken: np.ndarray, used: np.ndarray, whose: np.ndarray, n: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
+    """Whether a run within each region holds so many words of its item that the common subsequence can be long enough.
+
+    used: per item the features it holds, as bits; whose, n: item and its number of words, per region.
+    """
+    out, ends = np.zeros(len(lows), bool), np.cumsum(highs - lows)
+    start = 0
+    while start < len(lows):
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + REGION_WORDS, side="right")))
+        some = slice(start, stop)
+        long = highs[some] - lows[some]
+        region, word = np.repeat(np.arange(len(long)), long), spoken[ragged(lows[some], long)]
+        shared = np.zeros(len(word) + 1, np.int32)
+        np.cumsum(used[whose[some][region], word >> 3] >> (word & 7).astype(np.uint8) & 1, out=shared[1:])
+        last = np.minimum(np.arange(len(word)) + _run(n[some])[region], np.cumsum(long)[region])
+        out[start + region[shared[last] - shared[:-1] >= (LOWER_SHARE * n[some])[region]]] = True
+        start = stop
+    return out
 
 
 def _closest(item: np.ndarray, region: np.ndarray) -> int:
     """The longest common subsequence with a run of the region, once it reaches ``SHARE``, or else with the best run.
 
-    The run that shares most words goes first. Moved by one word, a run gains at most one, so poor runs are leapt over.
+    The run that shares most words goes first. Moved by one word, a run gains at most one, so poor runs are leapt over, as are
+    those that share too few words.
     """
     n, size = len(item), _run(len(item))
     if len(region) <= size:
         return common_subsequence(item, region)
-    shared = np.concatenate(([0], np.cumsum(np.isin(region, item))))
-    start = int((shared[size:] - shared[:-size]).argmax())
-    best, start = common_subsequence(item, region[start:start + size]), 0
-    while best < SHARE * n and start + size <= len(region):
-        both = common_subsequence(item, region[start:start + size])
+    ordered = np.sort(item)
+    held = ordered[np.minimum(np.searchsorted(ordered, region), n - 1)] == region
+    at = np.concatenate(([0], np.cumsum(held)))
+    shared, words = at[size:] - at[:-size], region[held]  # no other words can be in common
+    start = int(shared.argmax())
+    best, start = common_subsequence(item, words[at[start]:at[start + size]]), 0
+    while best < SHARE * n and start < len(shared):
+        least = max(best + 1, LOWER_SHARE * n)
+        if shared[start] < least:
+            start += int((shared[start:] >= least).argmax()) or len(shared)
+            continue
+        both = common_subsequence(item, words[at[start]:at[start + size]])
         best = max(best, both)
         start += max(1, math.ceil(max(best + 1, LOWER_SHARE * n) - both))
     return best

@@ -338,6 +338,22 @@ def test_closest_run_of_a_region():
     assert decontamination._closest(item, region) >= decontamination.SHARE * len(item)
 
 
+def test_regions_of_all_items_are_counted_together(monkeypatch):
+    monkeypatch.setattr(decontamination, "REGION_WORDS", 100)  # several turns
+    rng = np.random.default_rng(4)
+    spoken, held = rng.integers(0, 30, 500), rng.random((6, 30)) < 0.5
+    held[:, 0] = False
+    whose, n = rng.integers(0, 6, 80), rng.integers(4, 30, 80)
+    lows = rng.integers(0, 480, 80)
+    highs = np.minimum(500, lows + rng.integers(1, 90, 80))
+    got = decontamination._enough(spoken, np.packbits(held, axis=1, bitorder="little"), whose, n, lows, highs)
+    want = []
+    for k, m, low, high in zip(whose, n, lows, highs):
+        mine, size = held[k][spoken[low:high]], max(m + 2, m * 5 // 4)
+        want.append(any(mine[i:i + size].sum() >= decontamination.LOWER_SHARE * m for i in range(max(1, high - low - size + 1))))
+    assert got.tolist() == want and 0 < sum(want) < len(want)
+
+
 def test_main_text(spark):
     html = ("<html><head><title>t</title><style>p{}</style></head><body><nav><ul><li><a href='/a'>Home</a></li><li><a href='/b'>News</a></li></ul></nav>"
             "<div class='cookie-banner'>We use cookies.</div><article><h1>Big &amp; small</h1><p>First   paragraph of the\n story goes on.</p><p>Second one follows here.</p></article>"
