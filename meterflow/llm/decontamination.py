@@ -56,25 +56,37 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return (hashes >> np.uint64(46)).astype(np.int64), hashes, at
 
 
-def document_weights(docs: DataFrame) -> np.ndarray:
-    """Inverse document frequency of every feature over the whole corpus."""
+def document_weights(docs: DataFrame, items: DataFrame) -> np.ndarray:
+    """Inverse document frequency over the whole corpus, of every feature that the items hold; the others are not asked for."""
+
+    def spoken(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(features([plain(t) for t in raw_texts(batch)])[0]))], ["feature"])
+
+    wanted = items.select("text").mapInArrow(spoken, "feature long").distinct().toArrow().column("feature").to_numpy()
+    number = np.zeros(FEATURES, np.int32)
+    number[wanted] = np.arange(1, len(wanted) + 1)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, rows = np.zeros(FEATURES + 1, np.int64), 0
+        seen, rows = np.zeros(len(wanted) + 1, np.int64), 0
         for batch in slices(batches):
             feature, _, at = features([plain(t) for t in raw_texts(batch)])
-            text = np.repeat(np.arange(rows, rows + batch.num_rows), np.diff(at))
-            key = np.unique(text * FEATURES + feature)
-            seen[:FEATURES] += np.bincount(key % FEATURES, minlength=FEATURES)
+            own = number[feature]
+            kind = np.int32 if batch.num_rows * len(seen) < 1 << 31 else np.int64
+            key = (np.repeat(np.arange(batch.num_rows, dtype=kind) * len(seen), np.diff(at)) + own)[own > 0]
+            key.sort()
+            seen += np.bincount(key[np.diff(key, prepend=-1) > 0] % len(seen), minlength=len(seen))
             rows += batch.num_rows
-        seen[FEATURES] = rows
+        seen[0] = rows
         full = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(seen[full])], ["feature", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(seen[full])], ["place", "n"])
 
-    counted = docs.select("text").mapInArrow(count, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
-    seen = np.zeros(FEATURES + 1)  # the number of features is fixed
-    seen[counted.column("feature").to_numpy()] = counted.column("n").to_numpy()
-    return np.log((seen[FEATURES] + 1) / (seen[:FEATURES] + 1)).astype(np.float32) + np.float32(0.05)
+    counted = docs.select("text").mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    seen = np.zeros(len(wanted) + 1)  # at most the fixed number of features
+    seen[counted.column("place").to_numpy()] = counted.column("n").to_numpy()
+    weights = np.zeros(FEATURES, np.float32)
+    weights[wanted] = np.log((seen[0] + 1) / (seen[1:] + 1)).astype(np.float32) + np.float32(0.05)
+    return weights
 
 
 def latent_space(passages: DataFrame, n: int, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,7 +161,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text IS NOT NULL")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter(
         "item_id IS NOT NULL AND text IS NOT NULL").distinct()
-    weights = document_weights(docs)
+    weights = document_weights(docs, items)
     found, last, last_text = [], None, None
     while True:
         after = items if last is None else items.filter((F.col("item_id") > last) | ((F.col("item_id") == last) & (F.col("text") > last_text)))
@@ -200,6 +212,8 @@ def _block_matches(spark, docs: DataFrame, block: list[tuple[int, str]], weights
     for mine, (_, text) in zip(used, [x for x in block if plain(x[1].encode()).split()]):
         mine[known[features([plain(text.encode())])[0]]] = True
     used = np.packbits(used, axis=1, bitorder="little")
+    spoken_by = [known[(x >> np.uint64(46)).astype(np.int64)] for x in items]
+    asked, times = np.unique(np.repeat(np.arange(len(items)), lengths) * len(small) + np.concatenate(spoken_by), return_counts=True)
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=1 << 17):
@@ -213,7 +227,7 @@ def _block_matches(spark, docs: DataFrame, block: list[tuple[int, str]], weights
             out: dict[tuple, tuple] = {}
             if len(begin):
                 own_feature = known[feature]
-                sums = np.add.reduceat(small[own_feature], begin)
+                sums = _segment_sums(small, own_feature, begin, at[1:][text], segment)
                 running = np.vstack([np.zeros((1, sums.shape[1])), np.cumsum(sums, axis=0, dtype=np.float64)])
                 for size in sorted(set(scale.tolist())):
                     own = np.flatnonzero(scale == size)
@@ -230,7 +244,9 @@ def _block_matches(spark, docs: DataFrame, block: list[tuple[int, str]], weights
                     whose, w = owner[own[rows]], left[spoken[hits]]
                     lows = np.maximum(at[text[w]], begin[w] - lengths[whose])
                     highs = np.minimum(at[text[w] + 1], begin[w] + size + lengths[whose])
-                    for i in np.flatnonzero(_enough(own_feature, used, whose, lengths[whose], lows, highs)):
+                    some = np.flatnonzero(_enough(own_feature, used, whose, lengths[whose], lows, highs))
+                    some = some[_enough_each(own_feature, asked, times, len(small), whose[some], lengths[whose[some]], lows[some], highs[some])]
+                    for i in some:
                         k, n = whose[i], len(items[whose[i]])
                         region = hashes[lows[i]:highs[i]]
                         both = _closest(items[k], region)
@@ -254,10 +270,59 @@ def _run(n):
     return np.maximum(n + 2, n * 5 // 4)
 
 
+def _segment_sums(table: np.ndarray, spoken: np.ndarray, begin: np.ndarray, stop: np.ndarray, segment: int) -> np.ndarray:
+    """Sums of the table's rows over the words of every segment; row 0 holds zeros."""
+    spoken = np.append(spoken, np.zeros(segment, spoken.dtype))
+    sums = table.take(spoken[begin], axis=0)
+    for i in range(1, segment):
+        sums += table.take(np.where(begin + i < stop, spoken[begin + i], 0), axis=0)
+    return sums
+
+
 def _enough(spoken: np.ndarray, used: np.ndarray, whose: np.ndarray, n: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
     """Whether a run within each region holds so many words of its item that the common subsequence can be long enough.
 
-    used: per item the features it holds, as bits; whose, n: item and its number of words, per region.
+    used: per item the features it holds, as bits; whose, n: item and its number of words, per region. Words of regions that
+    follow one another and overlap are looked at once.
+    """
+    out = np.zeros(len(lows), bool)
+    if not len(lows):
+        return out
+    apart = np.ones(len(lows), bool)
+    apart[1:] = (np.diff(whose) != 0) | (np.diff(n) != 0) | (np.diff(lows) < 0) | (np.diff(highs) < 0) | (lows[1:] >= highs[:-1])
+    apart[::1 << 10] = True  # no stretch is long
+    first = np.flatnonzero(apart)
+    ends = np.append(first[1:], len(lows))
+    starts, bits = lows[first], used.ravel()
+    long = highs[ends - 1] - starts
+    total, start = np.cumsum(long), 0
+    while start < len(first):
+        stop = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + REGION_WORDS, side="right")))
+        mine, size = slice(start, stop), long[start:stop]
+        word = spoken[ragged(starts[mine], size)]
+        at = np.repeat(whose[first[mine]] * used.shape[1], size)
+        at += word >> 3
+        shared = np.zeros(len(word) + 1, np.int32)
+        np.cumsum(bits[at] >> (word & 7).astype(np.uint8) & 1, out=shared[1:])
+        regions = slice(first[start], ends[stop - 1])
+        full = _run(n[regions])
+        low = lows[regions] + np.repeat(np.cumsum(size) - size - starts[mine], ends[mine] - first[mine])
+        high = low + highs[regions] - lows[regions]
+        own = n[first[mine]]
+        last = np.minimum(np.arange(len(word)) + np.repeat(_run(own), size), len(word))
+        hits = np.flatnonzero(shared[last] - shared[:-1] >= np.repeat(LOWER_SHARE * own, size))
+        inside = np.searchsorted(hits, high - full, side="right") > np.searchsorted(hits, low)
+        out[regions] = np.where(high - low >= full, inside, shared[high] - shared[low] >= LOWER_SHARE * n[regions])
+        start = stop
+    return out
+
+
+def _enough_each(spoken: np.ndarray, asked: np.ndarray, times: np.ndarray, width: int, whose: np.ndarray, n: np.ndarray,
+                 lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
+    """As ``_enough``, but a word counts no more often than its item holds it.
+
+    asked, times: item * width + feature, ascending, and how often the item holds it. In a run a word counts if it stands there less
+    than that often before, so it counts for all runs that begin after its place so many times earlier.
     """
     out, ends = np.zeros(len(lows), bool), np.cumsum(highs - lows)
     start = 0
@@ -265,11 +330,19 @@ def _enough(spoken: np.ndarray, used: np.ndarray, whose: np.ndarray, n: np.ndarr
         stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + REGION_WORDS, side="right")))
         some = slice(start, stop)
         long = highs[some] - lows[some]
-        region, word = np.repeat(np.arange(len(long)), long), spoken[ragged(lows[some], long)]
-        shared = np.zeros(len(word) + 1, np.int32)
-        np.cumsum(used[whose[some][region], word >> 3] >> (word & 7).astype(np.uint8) & 1, out=shared[1:])
-        last = np.minimum(np.arange(len(word)) + _run(n[some])[region], np.cumsum(long)[region])
-        out[start + region[shared[last] - shared[:-1] >= (LOWER_SHARE * n[some])[region]]] = True
+        low = np.cumsum(long) - long
+        regions, words_of = np.repeat(np.arange(len(long)), long), spoken[ragged(lows[some], long)]
+        key = whose[some][regions] * width + words_of
+        found = np.minimum(np.searchsorted(asked, key), len(asked) - 1)
+        place = np.flatnonzero(asked[found] == key)
+        place = place[np.argsort(regions[place] * width + words_of[place], kind="stable")]  # by region and word
+        region, most = regions[place], times[found[place]]
+        earlier = np.maximum(np.arange(len(place)) - most, 0)
+        again = (np.arange(len(place)) >= most) & (region[earlier] == region) & (words_of[place[earlier]] == words_of[place])
+        after = np.maximum(low[region], place - _run(n[some])[region] + 1)
+        after = np.where(again, np.maximum(after, place[earlier] + 1), after)
+        shared = np.cumsum(np.bincount(after, minlength=len(key) + 1) - np.bincount(place + 1, minlength=len(key) + 1))[:-1]
+        out[start + regions[shared >= (LOWER_SHARE * n[some])[regions]]] = True
         start = stop
     return out
 

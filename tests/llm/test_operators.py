@@ -6,6 +6,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -354,6 +355,66 @@ def test_regions_of_all_items_are_counted_together(monkeypatch):
     assert got.tolist() == want and 0 < sum(want) < len(want)
 
 
+def test_regions_that_follow_one_another_are_looked_at_once():
+    rng = np.random.default_rng(5)
+    spoken, held = rng.integers(0, 60, 9000), rng.random((4, 64)) < 0.4
+    starts = np.arange(0, 8900, 4)  # more than fit one stretch
+    whose, lows = np.repeat(np.arange(4), len(starts)), np.tile(starts, 4)
+    n = np.array([8, 15, 30, 40])[whose]
+    highs = np.minimum(9000, lows + 16 + n)
+    got = decontamination._enough(spoken, np.packbits(held, axis=1, bitorder="little"), whose, n, lows, highs)
+    want = []
+    for k, m, low, high in zip(whose, n, lows, highs):
+        mine, size = held[k][spoken[low:high]], max(m + 2, m * 5 // 4)
+        want.append(any(mine[i:i + size].sum() >= decontamination.LOWER_SHARE * m for i in range(max(1, high - low - size + 1))))
+    assert got.tolist() == want and 0 < sum(want) < len(want)
+
+
+def test_words_count_no_more_often_than_an_item_holds_them(monkeypatch):
+    monkeypatch.setattr(decontamination, "REGION_WORDS", 100)  # several turns
+    rng = np.random.default_rng(6)
+    items = [rng.integers(1, 9, m) for m in (4, 6, 12, 20)]
+    items.append(np.arange(1, 9))
+    asked, times = np.unique(np.concatenate([k * 20 + x for k, x in enumerate(items)]), return_counts=True)
+    spoken = np.concatenate([rng.integers(0, 20, 300), np.full(100, 3), rng.integers(0, 12, 300)])
+    whose, lows = rng.integers(0, 5, 300), rng.integers(0, 690, 300)
+    whose[:2], lows[:2] = 4, 310
+    highs = np.minimum(700, lows + rng.integers(1, 60, 300))
+    n = np.array([len(x) for x in items])[whose]
+    got = decontamination._enough_each(spoken, asked, times, 20, whose, n, lows, highs)
+    want = []
+    for k, m, low, high in zip(whose, n, lows, highs):
+        size, region = max(m + 2, m * 5 // 4), spoken[low:high].tolist()
+        runs = [Counter(region[i:i + size]) & Counter(items[k].tolist()) for i in range(max(1, high - low - size + 1))]
+        want.append(max(r.total() for r in runs) >= decontamination.LOWER_SHARE * m)
+        both = max(decontamination.common_subsequence(items[k], np.array(region[i:i + size])) for i in range(max(1, high - low - size + 1)))
+        assert want[-1] or both < decontamination.LOWER_SHARE * m  # nothing is lost
+    assert got.tolist() == want and 0 < sum(want) < len(want) and not got[:2].any()
+    assert decontamination._enough_each(spoken, asked, times, 20, whose[:0], n[:0], lows[:0], highs[:0]).tolist() == []
+
+
+def test_segment_sums():
+    rng = np.random.default_rng(7)
+    table = np.vstack([np.zeros(3), rng.integers(0, 100, (9, 3))]).astype(np.float32)
+    spoken = rng.integers(0, 10, 23).astype(np.int32)
+    begin, stop = np.array([0, 8, 11, 19]), np.array([11, 11, 23, 23])  # texts of 11 and 12 words
+    want = [table[spoken[a:min(a + 8, b)]].sum(axis=0).tolist() for a, b in zip(begin, stop)]
+    assert decontamination._segment_sums(table, spoken, begin, stop, 8).tolist() == want
+
+
+def test_weights_of_the_words_of_items(spark):
+    docs = spark.createDataFrame([(1, "Pear fig, pear"), (2, "fig plum"), (3, ""), (4, "kiwi")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a fig or a pear")], "item_id long, text string")
+    got = decontamination.document_weights(docs, items)
+
+    def place(word):
+        return int(decontamination.features([word.encode()])[0][0])
+
+    for word, n in (("fig", 2), ("pear", 1), ("or", 0)):
+        assert abs(got[place(word)] - (np.log(5 / (n + 1)) + 0.05)) < 1e-6
+    assert np.count_nonzero(got) == 4 and got[place("kiwi")] == 0
+
+
 def test_main_text(spark):
     html = ("<html><head><title>t</title><style>p{}</style></head><body><nav><ul><li><a href='/a'>Home</a></li><li><a href='/b'>News</a></li></ul></nav>"
             "<div class='cookie-banner'>We use cookies.</div><article><h1>Big &amp; small</h1><p>First   paragraph of the\n story goes on.</p><p>Second one follows here.</p></article>"
