@@ -2,16 +2,22 @@
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow.config import ModelSettings, TARGET
 from meterflow.errors import DataValidationError
-from meterflow.models.encoding import Categories, categorical_features, choose_categories, encoding_stages, to_log
-from meterflow.operators.evaluation import regression_metrics
+from meterflow.models.encoding import (
+    Categories, categorical_features, choose_categories, coded_name, encoding_stages, index_name, to_log,
+)
+from meterflow.models.leaves import read_ensemble
+from meterflow.models.lending import Trial, trial_losses
+from meterflow.operators.evaluation import r2_score
 from meterflow.operators.ordering import with_row_index
 from meterflow.operators.splitting import head_rows, seeded_subsample
 from meterflow.session import materialise, shared_folder
@@ -87,35 +93,48 @@ def shuffled_place(place: Column, rows: int, *keys: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(_SHUFFLE_ROUNDS)), place.cast("bigint"), turned)
 
 
+def _turn_hashes(*keys: Column) -> Column:
+    """The hash each turn of ``shuffled_place`` starts from."""
+    return F.transform(F.sequence(F.lit(1), F.lit(_SHUFFLE_ROUNDS)), lambda turn: F.xxhash64(turn, *keys))
+
+
 def permutation_importance(model: PipelineModel, table: DataFrame, settings: ModelSettings = ModelSettings(),
                            order: Sequence[str] = ("pickup_datetime", "trip_id")) -> DataFrame:
     """Loss of R2, in minutes, when one feature's values are shuffled, averaged over repeats.
 
-    All rows of the table take part, unless ``importance_rows`` asks for the first ones in order. Rows are numbered once;
-    in every (feature, repeat) trial a keyed bijection of the numbers tells each row which other one lends it its value, so a
-    trial is one equal join and nothing is put in order. All trials are scored in one job.
+    All rows of the table take part, unless ``importance_rows`` asks for the first ones in order. Rows are numbered and
+    encoded once; in every (feature, repeat) trial a keyed bijection of the numbers tells each row which other one lends it its
+    value. All trials are lent and scored in one job. The model is one of ``train_model``.
     """
-    features = list(settings.features)
+    features, spark = list(settings.features), table.sparkSession
     needed = list(dict.fromkeys([*order, *features, TARGET]))
     sample = table.select(*needed)
     if settings.importance_rows is not None:
         sample = head_rows(sample, settings.importance_rows, order)
-    numbered = materialise(with_row_index(sample, order, "_row").withColumn("_row", F.col("_row") - 1), "importance")
-    rows = numbered.count()
-    if not rows:
+    learned, inputs = model.stages[-2], model.stages[-3].getInputCols()
+    scored = materialise(model.transform(with_row_index(sample, order, "_row")).select(
+        (F.col("_row") - 1).alias("row"), vector_to_array(learned.getFeaturesCol()).alias("vector"),
+        F.col(TARGET).cast("double").alias("target"), "prediction"), "importance")
+    whole = scored.agg(F.count(F.lit(1)).alias("rows"), F.var_pop("target").alias("variance")).first()
+    if not whole.rows:
         raise DataValidationError("importance needs at least one row")
-    trials = numbered.withColumn("_feature", F.explode(F.array(*[F.lit(name) for name in features]))).withColumn(
-        "_repeat", F.explode(F.sequence(F.lit(1), F.lit(settings.importance_repeats))))
-    trials = trials.withColumn("_donor", shuffled_place(F.col("_row"), rows, F.lit(settings.seed), F.col("_feature"), F.col("_repeat")))
-    donors = numbered.select(F.col("_row").alias("_donor"), F.struct(*features).alias("_values"))
-    shuffled = trials.join(donors, "_donor").select(
-        "_feature", "_repeat", TARGET,
-        *[F.when(F.col("_feature") == name, F.col(f"_values.{name}")).otherwise(F.col(name)).alias(name)
-          for name in features])
-    base = regression_metrics(predict(model, numbered), TARGET).first().r2
-    worse = regression_metrics(predict(model, shuffled), TARGET, by=["_feature", "_repeat"])
-    return (worse.groupBy(F.col("_feature").alias("feature"))
-            .agg((F.lit(base) - F.avg("r2")).alias("importance")).orderBy(F.desc("importance"), "feature"))
+    drawn = spark.range(1).select(F.posexplode(F.array(*[F.lit(name) for name in features])).alias("place", "feature")).select(
+        "place", "feature", F.explode(F.sequence(F.lit(1), F.lit(settings.importance_repeats))).alias("repeat"))
+    drawn = drawn.select("place", "feature", _turn_hashes(F.lit(settings.seed), F.col("feature"), F.col("repeat")).alias("turns"))
+    drawn = drawn.orderBy("place", "repeat").collect()  # as many rows as trials
+    entry = {name: next((i for i, column in enumerate(inputs) if column in (name, index_name(name), coded_name(name))), -1)
+             for name in features}
+    losses = trial_losses(scored, whole.rows, read_ensemble(learned, len(inputs)),
+                          [Trial(entry[row.feature], tuple(row.turns)) for row in drawn], np.expm1)
+
+    def r2(loss: int) -> Column:
+        mse = F.when(F.col("known") > 0, F.col(f"loss_{loss}") / F.col("known"))
+        return r2_score(F.lit(whole.rows), mse, F.lit(whole.variance).cast("double"))
+
+    worse = losses.select(r2(0).alias("base"), F.explode(F.array(*[
+        F.struct(F.lit(row.feature).alias("feature"), r2(i).alias("r2")) for i, row in enumerate(drawn, 1)])).alias("trial"))
+    return (worse.groupBy(F.col("trial.feature").alias("feature"))
+            .agg(F.avg(F.col("base") - F.col("trial.r2")).alias("importance")).orderBy(F.desc("importance"), "feature"))
 
 
 def save_model(model: PipelineModel, root: str, name: str, version: int) -> str:

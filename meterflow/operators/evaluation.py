@@ -2,13 +2,18 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.config import QualityGate, TARGET
 from meterflow.errors import QualityGateError
 
 
+def r2_score(rows: Column, mse: Column, variance: Column) -> Column:
+    constant = F.when(mse == 0, 1.0).otherwise(0.0)
+    return F.when(rows < 2, F.lit(float("nan"))).when(variance == 0, constant).otherwise(1.0 - mse / variance)
+
+
 def regression_metrics(df: DataFrame, target: str = TARGET, prediction: str = "prediction",
                        by: Sequence[str] = ()) -> DataFrame:
     """MAE, RMSE and R2 in one aggregate; variance rather than a difference of large sums."""
@@ -16,9 +21,7 @@ def regression_metrics(df: DataFrame, target: str = TARGET, prediction: str = "p
     sums = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("rows"), F.avg(F.abs(error)).alias("mae"), F.avg(error * error).alias("_mse"),
         F.var_pop(target).alias("_variance"))
-    constant = F.when(F.col("_mse") == 0, 1.0).otherwise(0.0)
-    r2 = (F.when(F.col("rows") < 2, F.lit(float("nan"))).when(F.col("_variance") == 0, constant)
-          .otherwise(1.0 - F.col("_mse") / F.col("_variance")))
+    r2 = r2_score(F.col("rows"), F.col("_mse"), F.col("_variance"))
     return sums.select(*by, "rows", "mae", F.sqrt("_mse").alias("rmse"), r2.alias("r2"))
 
 
